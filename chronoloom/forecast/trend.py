@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoloom.forecast.base import DEFAULT_HORIZON, Forecaster, future, keys_of
 from chronoloom.frame import TimeSeriesFrame
@@ -118,7 +119,7 @@ class Trend(Forecaster):
         return back.with_df(df.drop("__y", "__xy", "__c", "__x", "__xx", *[f"__line{h}" for h in fh]))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve(gram: pd.Series, cross: pd.Series) -> pd.Series:
     """Least-squares weights from normal equations, one small system per series."""
     b = np.stack(cross.to_numpy())
