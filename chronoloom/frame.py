@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.functions.steps import DAY, Step, is_integer, ticks
+from chronoloom.functions.steps import DAY, Step, floor_div, is_integer, ticks
 
 # Rows of one series that a single task may hold. Longer series are cut into time
 # chunks (see functions/ordered.py).
@@ -80,8 +80,8 @@ def _measure(tsf: TimeSeriesFrame) -> int:
     bucket = 1 << 20 if is_integer(tsf.time_type) else DAY
     limit, width = tsf.max_rows, 0
     while True:
-        size = F.lit(width or bucket).cast("bigint")
-        per_bucket = tsf.df.groupBy(*tsf.keys, F.floor(position / size).alias("__b")).agg(
+        piece = floor_div(position, width or bucket)
+        per_bucket = tsf.df.groupBy(*tsf.keys, piece.alias("__b")).agg(
             F.count(F.lit(1)).alias("n")
         )
         top = (

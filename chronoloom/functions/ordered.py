@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronoloom.frame import TimeSeriesFrame
-from chronoloom.functions.steps import ticks
+from chronoloom.functions.steps import floor_div, ticks
 
 CHUNK = "__chunk"
 BLOCK = "__block"
@@ -50,7 +50,7 @@ def chunked(tsf: TimeSeriesFrame) -> DataFrame:
     if not tsf.width:
         return tsf.df.withColumn(CHUNK, F.lit(0).cast("bigint"))
     position = ticks(F.col(tsf.time), tsf.time_type)
-    return tsf.df.withColumn(CHUNK, F.floor(position / F.lit(tsf.width).cast("bigint")))
+    return tsf.df.withColumn(CHUNK, floor_div(position, tsf.width))
 
 
 def _chunk_window(tsf: TimeSeriesFrame) -> WindowSpec:
@@ -201,9 +201,9 @@ def nearby(
     if not tsf.width:
         return tsf.with_df(tsf.df.withColumns(exprs(series_window(tsf))))
     block = max(tsf.max_rows, before, after, 1)
-    df = positions(tsf, "__pos", None).df
-    own = F.floor(F.col("__pos") / F.lit(block))
-    within = F.col("__pos") - own * block
+    df = positions(tsf, "__place", None).df
+    own = floor_div(F.col("__place"), block)
+    within = F.col("__place") - own * block
     homes = F.array_compact(
         F.array(
             F.lit(0),
@@ -212,9 +212,9 @@ def nearby(
         )
     )
     spread = df.withColumn("__home", F.explode(homes)).withColumn(BLOCK, own + F.col("__home"))
-    w = W.partitionBy(*tsf.keys, BLOCK).orderBy("__pos")
+    w = W.partitionBy(*tsf.keys, BLOCK).orderBy("__place")
     out = spread.withColumns(exprs(w)).where("__home = 0")
-    return tsf.with_df(out.drop("__pos", "__home", BLOCK))
+    return tsf.with_df(out.drop("__place", "__home", BLOCK))
 
 
 def lagged(tsf: TimeSeriesFrame, cols: dict[str, tuple[str | Column, int]]) -> TimeSeriesFrame:

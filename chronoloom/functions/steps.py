@@ -98,7 +98,7 @@ def ticks(ts: Column, dtype: T.DataType) -> Column:
         return ts.cast("bigint")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(ts)
-    # Session time zone plays no part for TIMESTAMP_NTZ.
+    # Exact for TIMESTAMP_NTZ in a session without clock changes, such as UTC.
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
 
 
@@ -138,3 +138,9 @@ def index_of(anchor: Column, step: Column, ts: Column, dtype: T.DataType) -> Col
 def whole_steps(distance: Column, size: Column) -> Column:
     """Integer division in BIGINT; NULL where the step has no such unit."""
     return F.call_function("div", distance.cast("bigint"), F.nullif(size.cast("bigint"), F.lit(0)))
+
+
+def floor_div(value: Column, size: int) -> Column:
+    """Integer division that rounds down, also below zero."""
+    size = F.lit(size).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, size), size)
