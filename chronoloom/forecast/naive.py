@@ -18,6 +18,11 @@ def _squares(e: Column) -> Column:
     return F.sum(e * e)
 
 
+def _in_order(point: Column) -> Column:
+    """The `y` of (position, y) structs in position order; NULL structs are left out."""
+    return F.transform(F.array_sort(F.collect_list(point)), lambda s: s["y"])
+
+
 class NaiveLast(Forecaster):
     """Every step is the last value; variance grows with h."""
 
@@ -58,10 +63,12 @@ class SeasonalNaive(Forecaster):
         self.sp = sp
 
     def rows(self, tsf, residuals):
-        return _lagged_rows(tsf, self.sp) if residuals else tsf.df
+        placed = positions(tsf, "__pos", "__size")
+        return _lagged_rows(placed, self.sp) if residuals else placed.df
 
     def aggregates(self, tsf):
-        return {}
+        recent = F.col("__size") - F.col("__pos") <= self.sp
+        return {"season": _in_order(F.when(recent, F.struct("__pos", tsf.y.alias("y"))))}
 
     def sse(self, tsf):
         return _squares(tsf.y - F.col("__lag"))
@@ -70,20 +77,17 @@ class SeasonalNaive(Forecaster):
         return n - self.sp
 
     def fit(self, tsf, residuals=False):
+        if residuals or not tsf.width:
+            return super().fit(tsf, residuals)
+        # Long series: the last rows are found without moving the others.
         known = tsf.with_df(tsf.df.where(tsf.y.isNotNull()))
         tail = head_rows(known, self.sp, last=True)
-        if not residuals:
-            # Length and cutoff come with the tail when only they are needed.
-            sizes = known.df.groupBy(*tsf.keys).agg(F.max(tsf.time).alias("cutoff"), F.count(F.lit(1)).alias("n"))
-            base = sizes.withColumn("step", tsf.step.columns()).select(*tsf.keys, "cutoff", "step", "n")
-        else:
-            base = super().fit(tsf, residuals=True)
-        # At most sp rows per series remain.
+        sizes = known.df.groupBy(*tsf.keys).agg(
+            F.max(tsf.time).alias("cutoff"), F.count(F.lit(1)).alias("n")
+        )
+        base = sizes.withColumn("step", tsf.step.columns()).select(*tsf.keys, "cutoff", "step", "n")
         seasons = tail.groupBy(*tsf.keys).agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct((-F.col("rn")).alias("at"), tsf.y.alias("y")))),
-                lambda s: s["y"],
-            ).alias("season")
+            _in_order(F.struct((-F.col("rn")).alias("at"), tsf.y.alias("y"))).alias("season")
         )
         return null_safe_join(base, seasons, tsf.keys)
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from chronoloom.frame import TimeSeriesFrame
-from chronoloom.functions.ordered import attach, filled, lagged, nearby, null_safe_join, whole
+from chronoloom.functions.ordered import attach, filled, lagged, nearby, whole
 from chronoloom.functions.steps import (
     DAY,
     SECOND,
@@ -28,27 +28,32 @@ from chronoloom.functions.steps import (
 _RUN = 10_000
 
 
-def dedupe(tsf: TimeSeriesFrame, ties: Iterable[str] | None = None) -> TimeSeriesFrame:
+def dedupe(
+    tsf: TimeSeriesFrame, ties: Iterable[str] | None = None, copies: str | None = None
+) -> TimeSeriesFrame:
     """One row per (key, time): the first by the tie columns.
 
-    A partial aggregate, so many copies of one time shrink before the shuffle.
+    A partial aggregate, so many copies of one time shrink before the shuffle. With
+    `copies`, a column of that name counts the rows that were merged.
     """
     ties = list(tsf.ties if ties is None else ties)
     rest = [c for c in tsf.df.columns if c not in (*tsf.keys, tsf.time)]
-    if not rest:
-        return tsf.with_df(tsf.df.distinct())
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    names = [*tsf.df.columns, *([copies] if copies else [])]
     order = [F.col(t) for t in ties] or [F.col(c) for c in rest if _orderable(tsf.df, c)]
     only = tsf.df.schema[ties[0]].dataType if len(ties) == 1 else None
     if isinstance(only, T.IntegralType):
         # A plain number as order keeps the aggregate a hash aggregate.
         first = F.coalesce(F.col(ties[0]).cast("bigint"), F.lit(2**63 - 1))
         picks = [F.min_by(c, first).alias(c) for c in rest]
-        out = tsf.df.groupBy(*tsf.keys, tsf.time).agg(*picks)
+        out = tsf.df.groupBy(*tsf.keys, tsf.time).agg(*picks, *counted)
     else:
         row = F.struct(*rest)
-        out = tsf.df.groupBy(*tsf.keys, tsf.time).agg(F.min_by(row, F.struct(*order)).alias("__r"))
-        out = out.select(*tsf.keys, tsf.time, "__r.*")
-    return tsf.with_df(out.select(*tsf.df.columns))
+        out = tsf.df.groupBy(*tsf.keys, tsf.time).agg(
+            F.min_by(row, F.struct(*order)).alias("__r"), *counted
+        )
+        out = out.select(*tsf.keys, tsf.time, "__r.*", *([copies] if copies else []))
+    return tsf.with_df(out.select(*names))
 
 
 def _orderable(df: DataFrame, column: str) -> bool:
@@ -78,29 +83,28 @@ def sortedness(tsf: TimeSeriesFrame, ingest: str) -> DataFrame:
     )
 
 
-def _gap_stats(tsf: TimeSeriesFrame) -> list[Column]:
-    """Aggregates over rows that carry `__prev`, the time before."""
-    dtype = tsf.time_type
-    now, prev = F.col(tsf.time), F.col("__prev")
-    gap = ticks(now, dtype) - ticks(prev, dtype)
-    stats = [
-        F.count(F.lit(1)).alias("__rows"),
-        F.min(gap).alias("__gap"),
-        F.max(gap).alias("__gap_hi"),
-    ]
+def _gap(tsf: TimeSeriesFrame) -> Column:
+    """Distance in ticks to the row before, which is in `__prev`."""
+    return ticks(F.col(tsf.time), tsf.time_type) - ticks(F.col("__prev"), tsf.time_type)
+
+
+def _gap_stats(tsf: TimeSeriesFrame) -> dict[str, Column]:
+    """Plain aggregates over rows that carry `__prev`."""
+    dtype, now = tsf.time_type, F.col(tsf.time)
+    stats = {"__rows": F.count(F.lit(1)), "__gap": F.min(_gap(tsf)), "__gap_hi": F.max(_gap(tsf))}
     if is_integer(dtype):
         return stats
-    months = month_number(now) - month_number(prev)
+    months = month_number(now) - month_number(F.col("__prev"))
     time_of_day = F.pmod(ticks(now, dtype), F.lit(DAY))
-    month_end = F.datediff(F.last_day(now), now) == 0
-    return stats + [
-        F.min(months).alias("__months"),
-        F.max(months).alias("__months_hi"),
-        F.min(F.dayofmonth(now)).alias("__day"),
-        F.max(F.dayofmonth(now)).alias("__day_hi"),
-        (F.min(time_of_day) == F.max(time_of_day)).alias("__same_time"),
-        F.min(month_end).alias("__all_ends"),
-    ]
+    return stats | {
+        "__months": F.min(months),
+        "__months_hi": F.max(months),
+        "__day": F.min(F.dayofmonth(now)),
+        "__day_hi": F.max(F.dayofmonth(now)),
+        "__time": F.min(time_of_day),
+        "__time_hi": F.max(time_of_day),
+        "__to_end": F.max(F.datediff(F.last_day(now), now)),
+    }
 
 
 def label_of(step: Column) -> Column:
@@ -141,10 +145,10 @@ def _exact_step(dtype: T.DataType) -> Column:
     monthly = (
         (F.col("__months") == F.col("__months_hi"))
         & (F.col("__months") > 0)
-        & F.col("__same_time")
-        & (F.col("__all_ends") | (F.col("__day") == F.col("__day_hi")))
+        & (F.col("__time") == F.col("__time_hi"))
+        & ((F.col("__to_end") == 0) | (F.col("__day") == F.col("__day_hi")))
     )
-    calendar = step_struct(F.col("__months"), F.lit(0), F.col("__all_ends"))
+    calendar = step_struct(F.col("__months"), F.lit(0), F.col("__to_end") == 0)
     return F.when(enough & same_gap, fixed).when(enough & monthly, calendar)
 
 
@@ -154,7 +158,9 @@ def with_previous_time(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
 
 def infer_frequency(tsf: TimeSeriesFrame) -> DataFrame:
     """`(keys…, rows, freq, step)` with the exact frequency of each series, or NULL."""
-    stats = with_previous_time(tsf).df.groupBy(*tsf.keys).agg(*_gap_stats(tsf))
+    stats = with_previous_time(tsf).df.groupBy(*tsf.keys).agg(
+        *[a.alias(n) for n, a in _gap_stats(tsf).items()]
+    )
     out = stats.withColumn("step", _exact_step(tsf.time_type))
     label = F.when(F.col("step").isNull(), F.lit(None).cast("string"))
     label = label.otherwise(_label(tsf, F.col("step")))
@@ -168,9 +174,7 @@ def _label(tsf: TimeSeriesFrame, step: Column) -> Column:
 def modal_gap(tsf: TimeSeriesFrame) -> DataFrame:
     """`(keys…, gap, gap_rows)`: the most common gap in ticks, smallest on ties."""
     gapped = with_previous_time(tsf).df.where("__prev is not null")
-    dtype = tsf.time_type
-    gap = ticks(F.col(tsf.time), dtype) - ticks(F.col("__prev"), dtype)
-    counts = gapped.groupBy(*tsf.keys, gap.alias("gap")).agg(F.count(F.lit(1)).alias("gap_rows"))
+    counts = gapped.groupBy(*tsf.keys, _gap(tsf).alias("gap")).agg(F.count(F.lit(1)).alias("gap_rows"))
     order = W.partitionBy(*tsf.keys).orderBy(F.desc("gap_rows"), F.asc("gap"))
     return counts.withColumn("__rn", F.row_number().over(order)).where("__rn = 1").drop("__rn")
 
@@ -192,20 +196,35 @@ def modal_frequency(tsf: TimeSeriesFrame) -> DataFrame:
     )
 
 
-def series_frequency(tsf: TimeSeriesFrame) -> DataFrame:
-    """`(keys…, freq, step)`: exact where it exists, else by the most common gap."""
+def with_frequency(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
+    """Adds `__step` and `__freq` of each series to its rows: exact where it exists, else
+    by the most common gap, else NULL.
+
+    For series that fit a task everything is a window over the key, which shares one
+    exchange with the steps that follow. Long series are counted per gap first.
+    """
     gapped = with_previous_time(tsf)
-    dtype = tsf.time_type
-    exact = gapped.df.groupBy(*tsf.keys).agg(*_gap_stats(tsf)).withColumn(
-        "exact", _exact_step(dtype)
-    )
-    both = null_safe_join(
-        exact.select(*tsf.keys, "exact"), modal_gap(tsf).select(*tsf.keys, "gap"), tsf.keys, "left"
-    )
-    modal = F.when(F.col("gap") > 0, modal_step(F.col("gap"), dtype))
-    out = both.withColumn("step", F.coalesce(F.col("exact"), modal))
-    label = F.when(F.col("step").isNotNull(), _label(tsf, F.col("step")))
-    return out.select(*tsf.keys, label.alias("freq"), "step")
+    if not tsf.width:
+        w = W.partitionBy(*tsf.keys)
+        stats = {n: a.over(w) for n, a in _gap_stats(tsf).items()}
+        # Smallest on ties.
+        stats["__mode"] = F.mode(_gap(tsf), True).over(w)
+        df = gapped.df.withColumns(stats)
+        extra = [*stats, "__prev"]
+    else:
+        per_gap = gapped.df.groupBy(*tsf.keys, _gap(tsf).alias("__g")).agg(
+            *[a.alias(n) for n, a in _gap_stats(tsf).items()]
+        )
+        merge = {n: F.max(n) if n.endswith("_hi") or n == "__to_end" else F.min(n) for n in _gap_stats(tsf)}
+        merge["__rows"] = F.sum("__rows")
+        known = F.when(F.col("__g").isNotNull(), F.struct("__rows", -F.col("__g")))
+        merge["__mode"] = F.max_by("__g", known)
+        table = per_gap.groupBy(*tsf.keys).agg(*[a.alias(n) for n, a in merge.items()])
+        df, extra = attach(tsf, table).df, list(merge)
+    modal = F.when(F.col("__mode") > 0, modal_step(F.col("__mode"), tsf.time_type))
+    df = df.withColumn("__step", F.coalesce(_exact_step(tsf.time_type), modal))
+    label = F.when(F.col("__step").isNotNull(), _label(tsf, F.col("__step")))
+    return tsf.with_df(df.withColumn("__freq", label).drop(*extra))
 
 
 def _on_grid(tsf: TimeSeriesFrame, anchor: str) -> TimeSeriesFrame:
@@ -334,46 +353,53 @@ def format_series(
     The report has one row per series.
     """
     keys = list(tsf.keys)
-    clean = dedupe(tsf, ties) if remove_duplicates else tsf
-    report = duplicate_counts(tsf).withColumn(
-        "duplicates_removed", F.col("duplicates") if remove_duplicates else F.lit(0).cast("bigint")
-    ).select(*keys, F.col("rows").alias("rows_in"), "duplicates_removed")
-    label = F.lit(tsf.freq).cast("string")
+    if remove_duplicates:
+        # Series that fit a task are spread by key once, which serves every later step.
+        base = tsf if tsf.width else tsf.with_df(tsf.df.repartition(*keys))
+        clean = dedupe(base, ties, copies="__copies")
+    else:
+        clean = tsf.with_df(tsf.df.withColumn("__copies", F.lit(1).cast("bigint")))
     if tsf.freq is not None:
-        stepped = clean.with_df(clean.df.withColumn("__step", tsf.step.columns()))
+        df = clean.df.withColumn("__step", tsf.step.columns())
+        stepped = clean.with_df(df.withColumn("__freq", F.lit(tsf.freq)))
     elif infer_freq:
-        freqs = series_frequency(clean).select(*keys, F.col("freq").alias("__freq"), F.col("step").alias("__step"))
-        stepped = attach(clean, freqs)
-        label = F.first("__freq", True)
-    else:
-        stepped = None
-    if stepped is not None:
-        marked = _on_grid(stepped, anchor)
-        gridded = _fill_grid(marked)
-        off = marked.df.groupBy(*keys).agg(
-            F.count_if(~F.col("__on")).alias("off_grid_rows"), label.alias("frequency")
-        )
+        stepped = with_frequency(clean)
     else:
-        gridded = clean.with_df(clean.df.withColumn("__gap", F.lit(False)))
-        off = clean.df.groupBy(*keys).agg(
-            F.lit(0).cast("bigint").alias("off_grid_rows"), label.alias("frequency")
+        none = clean.df.withColumn("__freq", F.lit(None).cast("string"))
+        stepped = clean.with_df(
+            none.withColumn("__step", F.when(F.lit(False), Step("us", ticks=1).columns()))
         )
-    grid_stats = gridded.df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows_out"),
-        F.count_if("__gap").alias("gaps_filled"),
-        F.count_if(F.col(tsf.target).isNull()).alias("missing"),
-    )
-    grid_stats = grid_stats.withColumn(
-        "missing_filled", F.col("missing") if fill else F.lit(0).cast("bigint")
-    ).drop("missing")
-    report = null_safe_join(null_safe_join(report, off, keys), grid_stats, keys)
-    report = report.withColumn("frequency_set", F.col("frequency").isNotNull())
-    out = gridded.with_df(gridded.df.drop("__gap", "__freq"))
+    marked = _on_grid(stepped, anchor)
+    report = _format_report(marked, fill)
+    out = _fill_grid(marked)
+    out = out.with_df(out.df.drop("__gap"))
     if fill:
         out = fill_missing(out, fill)
     return out, report
 
 
+def _format_report(marked: TimeSeriesFrame, fill: str | None) -> DataFrame:
+    """One row per series. The grid need not be built to count it."""
+    on = F.col("__on")
+    stats = marked.df.groupBy(*marked.keys).agg(
+        F.sum("__copies").alias("rows_in"),
+        F.sum(F.col("__copies") - 1).alias("duplicates_removed"),
+        F.max("__freq").alias("frequency"),
+        F.count_if(~on).alias("off_grid_rows"),
+        F.count_if(on).alias("__kept"),
+        F.max(F.when(F.col("__step").isNotNull() & on, F.col("__k") + 1)).alias("__points"),
+        F.count_if(on & F.col(marked.target).isNull()).alias("__null"),
+    )
+    points = F.coalesce("__points", "__kept")
+    gaps = points - F.col("__kept")
+    filled_ = gaps + F.col("__null") if fill else F.lit(0).cast("bigint")
+    return stats.select(
+        *marked.keys, "rows_in", "duplicates_removed", "frequency", "off_grid_rows",
+        points.alias("rows_out"), gaps.alias("gaps_filled"), filled_.alias("missing_filled"),
+        F.col("frequency").isNotNull().alias("frequency_set"),
+    )
+
+
 def overlay(tsfs: list[TimeSeriesFrame], labels: list[str] | None = None) -> DataFrame:
     """Several series under a `label` column; missing labels become `Series N`."""
     if not tsfs:
