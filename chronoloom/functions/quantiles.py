@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,11 +16,27 @@ _BINS = 1024
 def exact_quantiles(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
     """`(keys…, q ARRAY<DOUBLE>)` with linear interpolation between ranks."""
     if not tsf.width:
-        q = F.expr(f"percentile(`{tsf.target}`, array({', '.join(map(str, probs))}))")
-        return tsf.df.groupBy(*tsf.keys).agg(q.alias("q"))
+        return tsf.df.groupBy(*tsf.keys).agg(percentiles(tsf, probs).alias("q"))
     return _by_histogram(tsf, probs)
 
 
+def percentiles(tsf: TimeSeriesFrame, probs: list[float]) -> Column:
+    """The same as an aggregate; its state holds a whole series, so for short ones only."""
+    return F.percentile(tsf.y, [float(p) for p in probs])
+
+
+def with_quantiles(
+    tsf: TimeSeriesFrame, rows: DataFrame, aggs: dict[str, Column], probs: list[float]
+) -> DataFrame:
+    """Aggregates of `rows` per series together with exact quantiles of the target as `q`."""
+    named = [a.alias(n) for n, a in aggs.items()]
+    if not tsf.width:
+        return rows.groupBy(*tsf.keys).agg(*named, percentiles(tsf, probs).alias("q"))
+    return null_safe_join(
+        rows.groupBy(*tsf.keys).agg(*named), _by_histogram(tsf, probs), tsf.keys, "left"
+    )
+
+
 def _by_histogram(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
     """Narrow each wanted rank to a value range by counting bins until few rows remain.
 

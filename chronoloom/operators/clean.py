@@ -88,10 +88,15 @@ def _gap(tsf: TimeSeriesFrame) -> Column:
     return ticks(F.col(tsf.time), tsf.time_type) - ticks(F.col("__prev"), tsf.time_type)
 
 
-def _gap_stats(tsf: TimeSeriesFrame) -> dict[str, Column]:
+def frequency_stats(tsf: TimeSeriesFrame) -> dict[str, Column]:
     """Plain aggregates over rows that carry `__prev`."""
     dtype, now = tsf.time_type, F.col(tsf.time)
-    stats = {"__rows": F.count(F.lit(1)), "__gap": F.min(_gap(tsf)), "__gap_hi": F.max(_gap(tsf))}
+    stats = {
+        "__rows": F.count(F.lit(1)),
+        "__gap": F.min(_gap(tsf)),
+        "__gap_hi": F.max(_gap(tsf)),
+        "__same": F.count_if(_gap(tsf) == 0),
+    }
     if is_integer(dtype):
         return stats
     months = month_number(now) - month_number(F.col("__prev"))
@@ -134,7 +139,7 @@ def label_of(step: Column) -> Column:
     return label.otherwise(count(size, "us"))
 
 
-def _exact_step(dtype: T.DataType) -> Column:
+def exact_step(dtype: T.DataType) -> Column:
     """Step struct when all gaps agree, else NULL; needs three points."""
     enough = F.col("__rows") >= 3
     same_gap = (F.col("__gap") == F.col("__gap_hi")) & (F.col("__gap") > 0)
@@ -159,9 +164,9 @@ def with_previous_time(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
 def infer_frequency(tsf: TimeSeriesFrame) -> DataFrame:
     """`(keys…, rows, freq, step)` with the exact frequency of each series, or NULL."""
     stats = with_previous_time(tsf).df.groupBy(*tsf.keys).agg(
-        *[a.alias(n) for n, a in _gap_stats(tsf).items()]
+        *[a.alias(n) for n, a in frequency_stats(tsf).items()]
     )
-    out = stats.withColumn("step", _exact_step(tsf.time_type))
+    out = stats.withColumn("step", exact_step(tsf.time_type))
     label = F.when(F.col("step").isNull(), F.lit(None).cast("string"))
     label = label.otherwise(_label(tsf, F.col("step")))
     return out.select(*tsf.keys, F.col("__rows").alias("rows"), label.alias("freq"), "step")
@@ -206,23 +211,23 @@ def with_frequency(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
     gapped = with_previous_time(tsf)
     if not tsf.width:
         w = W.partitionBy(*tsf.keys)
-        stats = {n: a.over(w) for n, a in _gap_stats(tsf).items()}
+        stats = {n: a.over(w) for n, a in frequency_stats(tsf).items()}
         # Smallest on ties.
         stats["__mode"] = F.mode(_gap(tsf), True).over(w)
         df = gapped.df.withColumns(stats)
         extra = [*stats, "__prev"]
     else:
         per_gap = gapped.df.groupBy(*tsf.keys, _gap(tsf).alias("__g")).agg(
-            *[a.alias(n) for n, a in _gap_stats(tsf).items()]
+            *[a.alias(n) for n, a in frequency_stats(tsf).items()]
         )
-        merge = {n: F.max(n) if n.endswith("_hi") or n == "__to_end" else F.min(n) for n in _gap_stats(tsf)}
-        merge["__rows"] = F.sum("__rows")
+        merge = {n: F.max(n) if n.endswith("_hi") or n == "__to_end" else F.min(n) for n in frequency_stats(tsf)}
+        merge |= {n: F.sum(n) for n in ("__rows", "__same")}
         known = F.when(F.col("__g").isNotNull(), F.struct("__rows", -F.col("__g")))
         merge["__mode"] = F.max_by("__g", known)
         table = per_gap.groupBy(*tsf.keys).agg(*[a.alias(n) for n, a in merge.items()])
         df, extra = attach(tsf, table).df, list(merge)
     modal = F.when(F.col("__mode") > 0, modal_step(F.col("__mode"), tsf.time_type))
-    df = df.withColumn("__step", F.coalesce(_exact_step(tsf.time_type), modal))
+    df = df.withColumn("__step", F.coalesce(exact_step(tsf.time_type), modal))
     label = F.when(F.col("__step").isNotNull(), _label(tsf, F.col("__step")))
     return tsf.with_df(df.withColumn("__freq", label).drop(*extra))
 

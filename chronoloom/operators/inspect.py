@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import head_rows, null_safe_join
-from chronoloom.functions.quantiles import exact_quantiles
-from chronoloom.operators.clean import duplicate_counts, infer_frequency, sortedness
+from chronoloom.functions.quantiles import with_quantiles
+from chronoloom.operators.clean import (
+    exact_step, frequency_stats, infer_frequency, sortedness, with_previous_time,
+)
 
 
 def head(tsf: TimeSeriesFrame, n: int = 5) -> DataFrame:
@@ -60,15 +62,15 @@ def constants(tsf: TimeSeriesFrame) -> DataFrame:
 
 def describe(tsf: TimeSeriesFrame) -> DataFrame:
     """count, mean, std (n-1), min, quartiles, max of the target per series."""
-    stats = tsf.df.groupBy(*tsf.keys).agg(
-        F.count(tsf.y).alias("count"),
-        F.avg(tsf.y).alias("mean"),
-        F.stddev_samp(tsf.y).alias("std"),
-        F.min(tsf.y).alias("min"),
-        F.max(tsf.y).alias("max"),
+    out = with_quantiles(
+        tsf,
+        tsf.df,
+        {
+            "count": F.count(tsf.y), "mean": F.avg(tsf.y), "std": F.stddev_samp(tsf.y),
+            "min": F.min(tsf.y), "max": F.max(tsf.y),
+        },
+        [0.25, 0.5, 0.75],
     )
-    quartiles = exact_quantiles(tsf, [0.25, 0.5, 0.75])
-    out = null_safe_join(stats, quartiles, tsf.keys, "left")
     return out.select(
         *tsf.keys, "count", "mean", "std", "min",
         F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
@@ -106,13 +108,13 @@ def validate(tsf: TimeSeriesFrame, ingest: str | None = None) -> DataFrame:
     """
     keys = list(tsf.keys)
     cols = [tsf.target, *tsf.exog]
-    stats = tsf.df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
+    table = with_previous_time(tsf).df.groupBy(*keys).agg(
+        *[a.alias(n) for n, a in frequency_stats(tsf).items()],
         *[F.count_if(F.col(c).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)],
         *[(F.min(c) == F.max(c)).alias(f"__c{i}") for i, c in enumerate(cols)],
     )
-    dups = duplicate_counts(tsf).select(*keys, "duplicates")
-    table = null_safe_join(stats, dups, keys)
+    table = table.withColumnRenamed("__rows", "__n").withColumnRenamed("__same", "duplicates")
+    table = table.withColumn("__rows", F.col("__n")).withColumn("freq", exact_step(tsf.time_type))
     numeric = isinstance(tsf.df.schema[tsf.target].dataType, T.NumericType)
     checks = []
 
@@ -141,8 +143,6 @@ def validate(tsf: TimeSeriesFrame, ingest: str | None = None) -> DataFrame:
     if ingest is not None:
         table = null_safe_join(table, sortedness(tsf, ingest), keys)
         check("unsorted", F.col("was_unsorted"), F.col("steps_back"))
-    freq = infer_frequency(tsf).select(*keys, "freq")
-    table = null_safe_join(table, freq, keys)
     check("no_frequency", (F.col("__n") >= 3) & F.col("freq").isNull(), F.lit(1.0))
     found = table.select(*keys, F.explode(F.array_compact(F.array(*checks))).alias("c"))
     found = found.select(*keys, "c.*")

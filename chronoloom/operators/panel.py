@@ -53,7 +53,8 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
-    """`(id, rank, neighbour, distance)`: k nearest training rows by Euclidean distance.
+    """`(id, rank, neighbour, distance)`: k nearest training rows by Euclidean distance,
+    with the `label` of the neighbour when the training table has one.
 
     When both sides hold an id, that training row is skipped, which makes a table
     against itself leave-one-out. Exact at any size and without a cross join:
@@ -77,7 +78,10 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         d = _distances(np.stack(values.to_numpy()), pivots)
         return pd.DataFrame({"cell": d.argmin(1).astype("int32"), "away": d.min(1)})
 
-    housed = train.select(F.col("id").alias("neighbour"), "values", home("values").alias("p"))
+    labelled = ["label"] if "label" in train.columns else []
+    housed = train.select(
+        F.col("id").alias("neighbour"), "values", *labelled, home("values").alias("p")
+    )
     stats = (
         housed.groupBy("p.cell").agg(F.count(F.lit(1)).alias("n"), F.max("p.away").alias("r")).collect()
     )
@@ -106,7 +110,7 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         return F.pmod(F.xxhash64(column), n).cast("int")
 
     blocks = housed.select(
-        "neighbour", "values", F.col("p.cell").alias("cell"),
+        "neighbour", "values", *labelled, F.col("p.cell").alias("cell"),
         salt("neighbour", per_cell[F.col("p.cell")]).alias("part"),
         F.explode(F.sequence(F.lit(0), F.lit(query_slices - 1))).alias("qpart"),
     )
@@ -117,9 +121,9 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), per_cell[F.col("cell")] - 1)))
 
     def match(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": [], "neighbour": [], "distance": []})
+        columns = ["id", "neighbour", "distance", *labelled]
         if q.empty or t.empty:
-            return empty
+            return pd.DataFrame({c: [] for c in columns})
         t = t.sort_values("neighbour", kind="stable")
         names, tv = t["neighbour"].to_numpy(), np.stack(t["values"].to_numpy())
         out = []
@@ -133,37 +137,33 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
             top = np.argsort(d, axis=1, kind="stable")[:, :k]
             found = np.take_along_axis(d, top, 1)
             keep = np.isfinite(found)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "id": np.repeat(ids, top.shape[1])[keep.ravel()],
-                        "neighbour": names[top].ravel()[keep.ravel()],
-                        "distance": found.ravel()[keep.ravel()],
-                    }
-                )
-            )
+            row = {
+                "id": np.repeat(ids, top.shape[1])[keep.ravel()],
+                "neighbour": names[top].ravel()[keep.ravel()],
+                "distance": found.ravel()[keep.ravel()],
+            }
+            for c in labelled:
+                row[c] = t[c].to_numpy()[top].ravel()[keep.ravel()]
+            out.append(pd.DataFrame(row))
         return pd.concat(out, ignore_index=True)
 
     id_type = queries.schema["id"].dataType.simpleString()
     other_type = train.schema["id"].dataType.simpleString()
     on = ["cell", "part", "qpart"]
     pairs = asked.groupBy(*on).cogroup(blocks.groupBy(*on)).applyInPandas(
-        match, f"id {id_type}, neighbour {other_type}, distance double"
+        match,
+        f"id {id_type}, neighbour {other_type}, distance double"
+        + "".join(f", {c} {train.schema[c].dataType.simpleString()}" for c in labelled),
     )
     order = W.partitionBy("id").orderBy("distance", "neighbour")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "id", "rank", "neighbour", "distance"
+        "id", "rank", "neighbour", "distance", *labelled
     )
 
 
-def _with_labels(found: DataFrame, train: DataFrame) -> DataFrame:
-    labels = train.select(F.col("id").alias("neighbour"), "label")
-    return found.join(labels, "neighbour")
-
-
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
     """`(id, predicted)`: majority label of the k nearest, lowest label on ties."""
-    votes = _with_labels(nearest(queries, train, k), train).groupBy("id", "label").agg(
+    votes = nearest(queries, train, k).groupBy("id", "label").agg(
         F.count(F.lit(1)).alias("votes")
     )
     best = votes.groupBy("id").agg(F.min(F.struct(-F.col("votes"), F.col("label"))).alias("b"))
@@ -180,7 +180,7 @@ def class_labels(train: DataFrame) -> list:
 def knn_proba(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
     """`(id, label, probability)`: vote share, one row per instance and class."""
     classes = class_labels(train)
-    votes = _with_labels(nearest(queries, train, k), train).groupBy("id").agg(
+    votes = nearest(queries, train, k).groupBy("id").agg(
         F.collect_list("label").alias("labels")
     )
     options = F.array(*[F.lit(c) for c in classes])
@@ -190,7 +190,7 @@ def knn_proba(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
 
 def knn_regress(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
     """`(id, predicted)`: mean target of the k nearest."""
-    return _with_labels(nearest(queries, train, k), train).groupBy("id").agg(
+    return nearest(queries, train, k).groupBy("id").agg(
         F.avg(F.col("label").cast("double")).alias("predicted")
     )
 
@@ -198,7 +198,7 @@ def knn_regress(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
 def mean_regress(queries: DataFrame, train: DataFrame) -> DataFrame:
     """The mean of the training target for every instance."""
     mean = train.agg(F.avg(F.col("label").cast("double")).alias("predicted"))
-    return queries.select("id").join(F.broadcast(mean))
+    return queries.select("id", mean.scalar().alias("predicted"))
 
 
 def interval_features(df: DataFrame, n_intervals: int = 8, seed: int = 0, length: int | None = None) -> DataFrame:

@@ -69,8 +69,7 @@ def page(df: DataFrame, order: list, limit: int = 50, offset: int = 0) -> DataFr
         raise ValueError("limit must be positive")
     total = df.agg(F.count(F.lit(1)).alias("total"))
     rows = df.orderBy(*order).offset(offset).limit(limit)
-    # A page of `limit` rows against a single row.
-    out = rows.join(F.broadcast(total))
+    out = rows.withColumn("total", total.scalar())
     return out.withColumn("has_more", F.lit(offset + limit) < F.col("total"))
 
 
@@ -135,7 +134,11 @@ def explain_tags(df: DataFrame, defs: DataFrame, id_col: str, column="tags") ->
     Boolean values read Yes or No; a tag without a definition shows its own name.
     """
     pairs = df.select(id_col, F.explode(column).alias("tag", "value"))
-    joined = pairs.join(defs.select("tag", "description", "value_type"), "tag", "left")
+    defs = defs.select("tag", "description", "value_type")
+    # Every row has the same few tags, so a shuffled join would crowd on them.
+    if defs.limit(DIRECT_KEYS + 1).count() <= DIRECT_KEYS:
+        defs = F.broadcast(defs)
+    joined = pairs.join(defs, "tag", "left")
     truth = F.lower("value").isin("true", "1", "yes")
     shown = F.when(F.col("value_type") == "bool", F.when(truth, "Yes").otherwise("No"))
     text = F.concat(

@@ -11,7 +11,7 @@ from chronoloom.forecast.base import DEFAULT_HORIZON, Forecaster, keys_of
 from chronoloom.forecast.trend import Trend
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import attach, lagged, nearby, null_safe_join, positions
-from chronoloom.functions.quantiles import exact_quantiles
+from chronoloom.functions.quantiles import with_quantiles
 
 
 class Transformer:
@@ -238,16 +238,11 @@ def summary_features(
     keys = list(frame.keys)
     lag = lagged(positions(frame, "__pos", None), {"__lag": (tsf.target, 1)}).df
     y = tsf.y
-    stats = lag.groupBy(*keys).agg(
-        F.avg(y).alias("mean"),
-        F.stddev_samp(y).alias("std"),
-        F.regr_slope(y, F.col("__pos")).alias("slope"),
-        F.min(y).alias("min"),
-        F.max(y).alias("max"),
-        F.corr(y, F.col("__lag")).alias("acf1"),
-    )
-    q = exact_quantiles(frame, list(quantiles))
-    out = null_safe_join(stats, q, keys, "left")
+    aggs = {
+        "mean": F.avg(y), "std": F.stddev_samp(y), "slope": F.regr_slope(y, F.col("__pos")),
+        "min": F.min(y), "max": F.max(y), "acf1": F.corr(y, F.col("__lag")),
+    }
+    out = with_quantiles(frame, lag, aggs, list(quantiles))
     cols = [F.col("q")[i].alias(f"q{p * 100:g}".replace(".", "_")) for i, p in enumerate(quantiles)]
     return out.select(*keys, "mean", "std", "slope", "min", "max", *cols, "acf1")
 

@@ -182,7 +182,7 @@ def _panel(spark, sf_dir):
 @query(f"WITH {_NEAREST} SELECT id, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 6) AS distance FROM n")
 def nearest_series(spark, sf_dir):
     panel = _panel(spark, sf_dir)
-    return rounded(nearest(panel, panel, 5), "distance")
+    return rounded(nearest(panel, panel.drop("label"), 5), "distance")
 
 
 @query(

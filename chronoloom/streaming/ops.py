@@ -57,7 +57,14 @@ def resample_stream(
 def session_stream(
     stream: DataFrame, keys: Iterable[str], time: str, value: str, gap: str, delay: str
 ) -> DataFrame:
-    """Sessions per key that end after `gap` without a row."""
+    """Sessions per key that end after `gap` without a row.
+
+    Rows of a key are merged into sessions on the map side first, so that a crowded key
+    sends sessions instead of rows.
+    """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return (
         event_time(stream, time, delay)
         .groupBy(*keys, F.session_window(time, gap).alias("w"))
