@@ -120,18 +120,22 @@ class Trend(Forecaster):
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _solve(gram: pd.Series, cross: pd.Series) -> pd.Series:
-    """Least-squares weights from normal equations, one small system per series."""
+def _solve(covariance: pd.Series, cross: pd.Series) -> pd.Series:
+    """Least-squares slopes from centred moments, one small system per series."""
     b = np.stack(cross.to_numpy())
-    a = np.stack(gram.to_numpy()).reshape(len(b), b.shape[1], b.shape[1])
-    return pd.Series(list(np.einsum("nij,nj->ni", np.linalg.pinv(a, rcond=1e-12), b)))
+    a = np.stack(covariance.to_numpy()).reshape(len(b), b.shape[1], b.shape[1])
+    scale = np.sqrt(np.einsum("nii->ni", a))
+    scale[scale == 0] = 1.0
+    unit = a / scale[:, :, None] / scale[:, None, :]
+    slopes = np.einsum("nij,nj->ni", np.linalg.pinv(unit, rcond=1e-10, hermitian=True), b / scale)
+    return pd.Series(list(slopes / scale))
 
 
 class TrendExog(Forecaster):
     """Linear trend plus exogenous columns, solved per series.
 
-    The products that make up the normal equations are plain sums, so a long series is
-    aggregated in parts; only the small systems go to a vectorised solver. Forecasting
+    Means and covariances are mergeable aggregates, so a long series is reduced in parts;
+    only the small systems go to a vectorised solver. Forecasting
     needs the future values of the same columns.
     """
 
@@ -149,20 +153,20 @@ class TrendExog(Forecaster):
             needed = needed & F.col(c).isNotNull()
         known = tsf.with_df(tsf.df.where(needed))
         placed = positions(known, "__pos", "__size").df
-        u = (2 * F.col("__pos") - (F.col("__size") - 1)) / F.col("__size")
-        x = [F.lit(1.0), u, *[F.col(c).cast("double") for c in exog]]
-        gram = [[F.sum(x[i] * x[j]) for j in range(i + 1)] for i in range(len(x))]
+        x = [F.col("__pos").cast("double"), *[F.col(c).cast("double") for c in exog]]
+        size = range(len(x))
         sums = placed.groupBy(*tsf.keys).agg(
             F.max(tsf.time).alias("cutoff"),
             F.count(tsf.y).alias("n"),
             F.array(
-                *[gram[max(i, j)][min(i, j)] for i in range(len(x)) for j in range(len(x))]
-            ).alias("__gram"),
-            F.array(*[F.sum(v * tsf.y) for v in x]).alias("__cross"),
+                *[F.covar_pop(x[max(i, j)], x[min(i, j)]) for i in size for j in size]
+            ).alias("__cov"),
+            F.array(*[F.covar_pop(v, tsf.y) for v in x]).alias("__cross"),
+            F.array(F.avg(tsf.y), *[F.avg(v) for v in x]).alias("means"),
         )
-        params = sums.withColumn("weights", _solve("__gram", "__cross"))
+        params = sums.withColumn("weights", _solve("__cov", "__cross"))
         params = params.withColumn("step", tsf.step.columns())
-        return params.select(*tsf.keys, "cutoff", "step", "n", "weights")
+        return params.select(*tsf.keys, "cutoff", "step", "n", "means", "weights")
 
     def forecast(self, params, horizon=DEFAULT_HORIZON, X: TimeSeriesFrame | None = None):
         if X is None:
@@ -170,11 +174,10 @@ class TrendExog(Forecaster):
         exog, keys = list(self.exog or X.exog), keys_of(params)
         ahead = X.df.select(*keys, F.col(X.time).alias("ts"), *exog)
         out = null_safe_join(future(params, horizon), ahead, [*keys, "ts"])
-        u = (2 * (F.col("n") - 1 + F.col("h")) - (F.col("n") - 1)) / F.col("n")
-        w = F.col("weights")
-        value = w[0] + w[1] * u
-        for i, c in enumerate(exog):
-            value = value + w[i + 2] * F.col(c).cast("double")
+        x = [F.col("n") - 1 + F.col("h"), *[F.col(c).cast("double") for c in exog]]
+        value = F.col("means")[0]
+        for i, v in enumerate(x):
+            value = value + F.col("weights")[i] * (v - F.col("means")[i + 1])
         return out.select(*keys, "ts", "h", value.alias("yhat"))
 
 

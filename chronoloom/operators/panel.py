@@ -79,9 +79,13 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         return pd.DataFrame({"cell": d.argmin(1).astype("int32"), "away": d.min(1)})
 
     labelled = ["label"] if "label" in train.columns else []
+    # New names on this side: with the same table on both sides, a grouped map takes
+    # columns of one name for one column.
     housed = train.select(
-        F.col("id").alias("neighbour"), "values", *labelled, home("values").alias("p")
+        F.col("id").alias("neighbour"), F.col("values").alias("point"),
+        *[F.col(c).alias("tag") for c in labelled], home("values").alias("p"),
     )
+    tagged = ["tag"] if labelled else []
     stats = (
         housed.groupBy("p.cell").agg(F.count(F.lit(1)).alias("n"), F.max("p.away").alias("r")).collect()
     )
@@ -110,7 +114,7 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         return F.pmod(F.xxhash64(column), n).cast("int")
 
     blocks = housed.select(
-        "neighbour", "values", *labelled, F.col("p.cell").alias("cell"),
+        "neighbour", "point", *tagged, F.col("p.cell").alias("cell"),
         salt("neighbour", per_cell[F.col("p.cell")]).alias("part"),
         F.explode(F.sequence(F.lit(0), F.lit(query_slices - 1))).alias("qpart"),
     )
@@ -125,7 +129,7 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         if q.empty or t.empty:
             return pd.DataFrame({c: [] for c in columns})
         t = t.sort_values("neighbour", kind="stable")
-        names, tv = t["neighbour"].to_numpy(), np.stack(t["values"].to_numpy())
+        names, tv = t["neighbour"].to_numpy(), np.stack(t["point"].to_numpy())
         out = []
         piece = max(1, 8_000_000 // len(tv))
         for i in range(0, len(q), piece):
@@ -143,7 +147,7 @@ def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
                 "distance": found.ravel()[keep.ravel()],
             }
             for c in labelled:
-                row[c] = t[c].to_numpy()[top].ravel()[keep.ravel()]
+                row[c] = t["tag"].to_numpy()[top].ravel()[keep.ravel()]
             out.append(pd.DataFrame(row))
         return pd.concat(out, ignore_index=True)
 

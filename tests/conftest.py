@@ -11,6 +11,7 @@ from chronoloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(8, memory="4g")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
