@@ -71,10 +71,6 @@ def _before(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(W.unboundedPreceding, -1)
 
 
-def _after(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(1, W.unboundedFollowing)
-
-
 def _everything(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
@@ -133,33 +129,43 @@ def running(tsf: TimeSeriesFrame, aggs: dict[str, tuple[str, Column]]) -> TimeSe
 
 
 def filled(tsf: TimeSeriesFrame, cols: Iterable[str], forward=True, backward=True) -> TimeSeriesFrame:
-    """Last known value first, then the next known one, for each listed column."""
+    """Last known value first, then the next known one, for each listed column.
+
+    No frame runs from the current row to the end, which Spark would evaluate from
+    scratch for every row: after a forward fill only leading rows are left, and their
+    next known value is the first one; a back fill alone runs over descending time.
+    """
     cols = list(cols)
-    # Distinct names first, so that every fill reads the unfilled column.
-    fresh = {c: f"__filled_{i}" for i, c in enumerate(cols)}
-    if not tsf.width:
-        w = series_window(tsf)
-        parts, df = (None, None), tsf.df
-    else:
-        w = _chunk_window(tsf)
+    order = [*tsf.keys, CHUNK] if tsf.width else list(tsf.keys)
+    part = W.partitionBy(*order)
+    up, down = part.orderBy(*order_of(tsf)), part.orderBy(*[c.desc() for c in order_of(tsf)])
+    df, prev, nxt = tsf.df, {}, {}
+    if tsf.width:
         partials, carried = {}, {}
         for i, c in enumerate(cols):
             known = F.when(F.col(c).isNotNull(), F.col(tsf.time))
             partials[f"__l{i}"] = F.max_by(F.col(c), known)
             partials[f"__f{i}"] = F.min_by(F.col(c), known)
-            carried[f"__prev{i}"] = lambda w, i=i: F.last(f"__l{i}", True).over(_before(w))
-            carried[f"__next{i}"] = lambda w, i=i: F.first(f"__f{i}", True).over(_after(w))
+            prev[c], nxt[c] = f"__prev{i}", f"__next{i}"
+            carried[prev[c]] = lambda w, i=i: F.last(f"__l{i}", True).over(_before(w))
+            carried[nxt[c]] = lambda _, i=i: F.last(f"__f{i}", True).over(
+                _before(W.partitionBy(*tsf.keys).orderBy(F.desc(CHUNK)))
+            )
         df = _carry(tsf, chunked(tsf), partials, carried)
-        parts = ("__prev", "__next")
     exprs = {}
-    for i, c in enumerate(cols):
+    # New names, so that every fill reads the unfilled column.
+    fresh = {c: f"__filled_{i}" for i, c in enumerate(cols)}
+    for c in cols:
         options = [F.col(c)]
         if forward:
-            options.append(F.last(c, True).over(w.rowsBetween(W.unboundedPreceding, 0)))
-            options += [F.col(f"{parts[0]}{i}")] if parts[0] else []
+            options.append(F.last(c, True).over(up.rowsBetween(W.unboundedPreceding, 0)))
+            options += [F.col(prev[c])] if prev else []
         if backward:
-            options.append(F.first(c, True).over(w.rowsBetween(0, W.unboundedFollowing)))
-            options += [F.col(f"{parts[1]}{i}")] if parts[1] else []
+            if forward:
+                options.append(F.first(c, True).over(_everything(up)))
+            else:
+                options.append(F.last(c, True).over(down.rowsBetween(W.unboundedPreceding, 0)))
+            options += [F.col(nxt[c])] if nxt else []
         exprs[fresh[c]] = F.coalesce(*options)
     out = df.withColumns(exprs)
     return tsf.with_df(
