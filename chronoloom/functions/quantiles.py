@@ -11,6 +11,8 @@ from chronoloom.functions.ordered import attach, null_safe_join
 from chronoloom.shared import cut_lineage
 
 _BINS = 1024
+# Long series up to this many are listed on every executor.
+_FEW = 10_000
 
 
 def exact_quantiles(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
@@ -38,13 +40,31 @@ def with_quantiles(
 
 
 def _by_histogram(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
-    """Narrow each wanted rank to a value range by counting bins until few rows remain.
+    """Short series by the built-in aggregate; each rank of a long one by counting bins.
 
-    Every pass is one partially aggregated count over at most 1024 bins per rank. A
+    A long series has over `max_rows` rows, so there are at most rows / max_rows of them
+    and their list is broadcast while it is short. Per pass, the value range that holds
+    a wanted rank is cut into 1024 bins, which are counted with partial aggregation. A
     range is final when it holds one value or at most `max_rows` rows.
     """
     keys = list(tsf.keys)
-    rows = tsf.with_df(tsf.df.where(tsf.y.isNotNull()).withColumn("v", tsf.y))
+    sizes = tsf.df.where(tsf.y.isNotNull()).groupBy(*keys).agg(
+        F.count(tsf.y).alias("n"), F.min(tsf.y).alias("lo"), F.max(tsf.y).alias("hi")
+    )
+    long = cut_lineage(sizes.where(F.col("n") > tsf.max_rows))
+    few = long.limit(_FEW + 1).count() <= _FEW
+    mark = long.select(*keys, F.lit(True).alias("__long"))
+    marked = null_safe_join(tsf.df, F.broadcast(mark), keys, "left") if few else attach(tsf, mark, "left").df
+    short = tsf.with_df(marked.where("__long is null"))
+    rows = tsf.with_df(marked.where(tsf.y.isNotNull() & F.col("__long")).withColumn("v", tsf.y))
+    easy = short.df.groupBy(*keys).agg(percentiles(short, probs).alias("q"))
+    return easy.unionByName(_long_quantiles(rows, long, probs, few))
+
+
+def _long_quantiles(
+    rows: TimeSeriesFrame, sizes: DataFrame, probs: list[float], few: bool
+) -> DataFrame:
+    keys = list(rows.keys)
     n_minus_1 = F.col("n") - 1
     wanted = [(i, F.lit(float(p)) * n_minus_1) for i, p in enumerate(probs)]
     ranks = F.array(
@@ -59,18 +79,16 @@ def _by_histogram(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
         ]
     )
     ranges = (
-        rows.df.groupBy(*keys)
-        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        .select(*keys, F.explode(ranks).alias("r"), "lo", "hi", F.col("n").alias("inside"))
+        sizes.select(*keys, F.explode(ranks).alias("r"), "lo", "hi", F.col("n").alias("inside"))
         .select(*keys, "r.*", "lo", "hi", "inside")
     )
     ids = [*keys, "i", "side"]
     while True:
         ranges = cut_lineage(ranges)
         top = ranges.where("hi > lo").agg(F.max("inside")).first()[0] or 0
-        if top <= tsf.max_rows:
+        if top <= rows.max_rows:
             break
-        bins = _members(rows, ranges).groupBy(*ids, _bin().alias("bin")).agg(
+        bins = _members(rows, ranges, few).groupBy(*ids, _bin().alias("bin")).agg(
             F.count("v").alias("c"), F.min("v").alias("b_lo"), F.max("v").alias("b_hi")
         )
         upto = F.sum("c").over(W.partitionBy(*ids).orderBy("bin"))
@@ -81,7 +99,7 @@ def _by_histogram(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
         )
     single = ranges.where("hi = lo").select(*ids, "part", F.col("lo").alias("v"))
     order = W.partitionBy(*ids).orderBy("v")
-    rest = _members(rows, ranges.where("hi > lo")).withColumn(
+    rest = _members(rows, ranges.where("hi > lo"), few).withColumn(
         "at", F.row_number().over(order) - 1
     )
     rest = rest.where("at = rank").select(*ids, "part", "v")
@@ -96,17 +114,22 @@ def _by_histogram(tsf: TimeSeriesFrame, probs: list[float]) -> DataFrame:
     )
 
 
-def _bin():
-    share = (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _BINS), F.lit(_BINS - 1))
+def _bin() -> Column:
+    """Bin of `v` in its range; both ends have their own, so that every pass narrows it."""
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    share = F.nanvl((v - lo) / (hi - lo), F.lit(0.0))
+    inner = 1 + F.least(F.floor(share * _BINS), F.lit(_BINS - 1))
+    return F.when(v == lo, F.lit(0)).when(v == hi, F.lit(_BINS + 1)).otherwise(inner)
 
 
-def _members(rows: TimeSeriesFrame, ranges: DataFrame) -> DataFrame:
+def _members(rows: TimeSeriesFrame, ranges: DataFrame, few: bool) -> DataFrame:
     """Rows with the ranges they fall in; one short array of ranges per series."""
     per_key = ranges.groupBy(*rows.keys).agg(
         F.collect_list(F.struct("i", "side", "rank", "part", "lo", "hi", "inside")).alias("rs")
     )
-    joined = attach(rows, per_key).df
+    joined = (
+        null_safe_join(rows.df, F.broadcast(per_key), rows.keys) if few else attach(rows, per_key).df
+    )
     inside = F.filter("rs", lambda r: F.col("v").between(r["lo"], r["hi"]))
     return joined.withColumn("r", F.explode(inside)).select(*rows.keys, "v", "r.*")
 

@@ -78,17 +78,18 @@ def test_seasonality(spark):
     assert seasonality(monthly(spark, [i % 4 for i in range(40)]), 10).first()["sp"] == 4
 
 
-@pytest.mark.parametrize("kind", ["spread", "crowded", "same"])
+@pytest.mark.parametrize("kind", ["spread", "crowded", "same", "infinite"])
 def test_long_quantiles(spark, kind):
     rng = random.Random(5)
     draw = {
         "spread": lambda: rng.gauss(0, 100), "crowded": lambda: 1e6 if rng.random() < 0.02 else rng.random(),
         "same": lambda: rng.choice([1.0, 2.0]),
+        "infinite": lambda: rng.choice([float("inf"), float("-inf"), rng.random(), rng.random()]),
     }[kind]
     values = [draw() for _ in range(400)]
     tsf = monthly(spark, values, max_rows=10)
     assert tsf.width > 0
-    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    probs = [0.3, 0.5, 0.7] if kind == "infinite" else [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     assert np.allclose(exact_quantiles(tsf, probs).first()["q"], np.quantile(values, probs), rtol=1e-12)
 
 
