@@ -22,7 +22,7 @@ from chronoloom.llm.text import U
 from chronoloom.shared import shared_dir
 
 BUCKET = "__bucket"
-PAGE = 4 << 20
+PAGE = 1 << 20
 _ANSWER = f"{BUCKET} int, target int, bits binary"
 
 
