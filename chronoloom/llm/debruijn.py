@@ -13,9 +13,9 @@ many times over, so it is built compacted:
 * Copied paths that follow each other, with sources that follow each other as well, compact into
   one long span, whose source coordinates cover the span without a gap.
 
-Hot passages: occurrences of a path are reduced by a partial aggregation to the first one, an
-edge is sent once by a bucket, and the join of occurrences with first ones has one row on the
-right side for each path, so that adaptive execution can split a hot one.
+Hot passages: of equal paths in a bucket only the first is joined, the others are copies of it;
+likewise an edge is sent once by a bucket. So a passage that a third of all documents share is
+one row for each bucket of documents, and a partial aggregation reduces these to the first.
 """
 
 from __future__ import annotations
@@ -80,12 +80,27 @@ def _occurrences(k: int, anchor: int, answering: int):
         start, width = p.start[keep], p.width[keep]
         t, stop = p.texts, start + width + k - 1
         row = np.searchsorted(t.first, start, "right") - 1
-        second = t.word_hashes(1)
+        node, one = p.node[keep], runs_hash(p.h, start, stop)
+        two = runs_hash(t.word_hashes(1), start, stop, 1)
+        by = np.lexsort((start, two, one, node))
+        again = np.zeros(len(by), bool)
+        for x in (node, one, two):
+            again[1:] |= x[by][1:] != x[by][:-1]
+        again = ~again
+        again[:1] = False
+        # The first equal path in the bucket, for those that have one before them.
+        lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
+        source = np.empty(len(by), np.int64)
+        source[by] = by[lead]
+        known = source != np.arange(len(by))
         return pa.table(
             {
-                "node": _signed(p.node[keep]),
-                "path": _signed(runs_hash(p.h, start, stop)),
-                "path2": _signed(runs_hash(second, start, stop, 1)),
+                "node": _signed(node),
+                "path": _signed(one),
+                "path2": _signed(two),
+                "known": pa.array(known),
+                "src_row": pa.array(row[source], pa.int32()),
+                "src_start": pa.array((start - t.first[row])[source], pa.int32()),
                 "id": table.column("id").take(pa.array(row)),
                 BUCKET: pa.array(np.full(len(row), table.column(BUCKET)[0].as_py()), pa.int32()),
                 "row": pa.array(row, pa.int32()),
@@ -181,12 +196,13 @@ def repeated_passages(buckets: Buckets, k: int = 20, anchor: int = 5) -> DataFra
     seen = written(
         bucket_map(
             buckets, answers, _occurrences(k, anchor, answering),
-            f"node bigint, path bigint, path2 bigint, {place}, width int",
+            f"node bigint, path bigint, path2 bigint, known boolean, src_row int, src_start int, {place}, width int",
         ),
         "paths",
     )
     at = F.struct("id", BUCKET, "row", "start", "width")
-    firsts = seen.groupBy(*KEYS).agg(F.min(at).alias("first"))
+    own = seen.filter("not known")
+    firsts = own.groupBy(*KEYS).agg(F.min(at).alias("first"))
     branches = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1")
     opened = firsts.join(branches, "node").select("first.*").select(BUCKET, "row", "start", "width")
     targets = max(1, math.ceil(buckets.total / 6 / 500_000))
@@ -194,17 +210,18 @@ def repeated_passages(buckets: Buckets, k: int = 20, anchor: int = 5) -> DataFra
         buckets, opened, _opened(k, targets), f"target int, one bigint, two bigint, {place}"
     )
     later = edges.groupBy("target").applyInArrow(_later(k), f"{BUCKET} int, row int, start int, stop int")
-    same = (F.col(BUCKET) == F.col("first")[BUCKET]) & (F.col("row") == F.col("first.row"))
-    copies = seen.join(firsts, KEYS).filter(~(same & (F.col("start") == F.col("first.start"))))
-    return later.union(_spans(copies, k))
+    there = F.struct(F.col("first")[BUCKET].alias("b"), F.col("first.row").alias("r"), F.col("first.start").alias("s"))
+    here = F.struct(F.col(BUCKET).alias("b"), F.col("row").alias("r"), F.col("start").alias("s"))
+    local = F.struct(F.col(BUCKET).alias("b"), F.col("src_row").alias("r"), F.col("src_start").alias("s"))
+    cols = [BUCKET, "row", "start", "width"]
+    copies = own.join(firsts, KEYS).filter(there != here).select(*cols, there.alias("source"))
+    return later.union(_spans(copies.union(seen.filter("known").select(*cols, local.alias("source"))), k))
 
 
 def _spans(copies: DataFrame, k: int) -> DataFrame:
     """Copied paths whose places and sources both follow each other, as one range each."""
     doc = Window.partitionBy(BUCKET, "row").orderBy("start")
-    shift = F.struct(
-        F.col("first")[BUCKET].alias("b"), F.col("first.row").alias("r"), (F.col("first.start") - F.col("start")).alias("d")
-    )
+    shift = F.struct("source.b", "source.r", (F.col("source.s") - F.col("start")).alias("d"))
     end = F.col("start") + F.col("width")
     moved = copies.select(BUCKET, "row", "start", end.alias("end"), shift.alias("shift"))
     follows = (F.lag("end").over(doc) == F.col("start")) & (F.lag("shift").over(doc) == F.col("shift"))
