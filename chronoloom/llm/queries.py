@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import debruijn, decontaminate, jaccard_join, pieces, quality, suffix_dedup
+from chronoloom.llm import (
+    debruijn,
+    decontaminate,
+    jaccard_join,
+    language,
+    licenses,
+    pieces,
+    preferences,
+    quality,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -110,12 +121,24 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents")))
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-dropout and decoded again."""
     return pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 PASSAGES_SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents),
 g AS (
@@ -137,6 +160,38 @@ def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.digest(debruijn.dedup_passages(table(spark, sf_dir, "documents")))
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+PREFERENCES_SQL = """
+WITH l AS (
+  SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+p AS (SELECT l.conv_id, l.last, o.answer AS other FROM l JOIN l o ON o.conv_id = l.conv_id + 1),
+t AS (
+  SELECT conv_id AS pair_id, turn, role, text AS a,
+    CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END AS b
+  FROM conversations JOIN p USING (conv_id)),
+f AS (SELECT pair_id, min(turn) FILTER (a IS DISTINCT FROM b) AS first FROM t GROUP BY pair_id),
+r AS (
+  SELECT pair_id, turn, role, CASE WHEN first IS NULL OR turn < first THEN 'prompt' ELSE 'chosen' END AS part, a AS text
+  FROM t JOIN f USING (pair_id)
+  UNION ALL
+  SELECT pair_id, turn, role, 'rejected', b FROM t JOIN f USING (pair_id) WHERE turn >= first)
+SELECT pair_id, part, turn, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+  part <> 'prompt' AND role = 'assistant' AS trained
+FROM r"""
+
+
+@query(sql=PREFERENCES_SQL)
+def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and completions of every conversation, against its neighbour's last answer."""
+    turns = table(spark, sf_dir, "conversations")
+    return preferences.format_pairs(*preferences.swapped_pairs(turns))
+
+
 JACCARD_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, {WORDS}) AS w FROM documents),
 s AS (
