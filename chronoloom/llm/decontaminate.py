@@ -160,9 +160,9 @@ def scan(
     # The other columns pass through Python as one struct, so that no name can clash.
     packed = docs.select(F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in cols]).alias("row"))
     row_type = packed.schema["row"].dataType.simpleString()
-    schema = (
+    base = (
         "n_words bigint, hits array<struct<first: bigint, last: bigint>>, items array<string>, "
-        "spans array<struct<start: bigint, end: bigint>>, row " + row_type
+        "spans array<struct<start: bigint, end: bigint>>"
     )
     blocks = [
         (f"{uuid.uuid4().hex}", spark.sparkContext.broadcast(b))
@@ -170,9 +170,9 @@ def scan(
     ]
     if len(blocks) == 1:
         name, items = blocks[0]
-        found = packed.mapInArrow(_scanner(items, window, name), schema)
+        found = packed.mapInArrow(_scanner(items, window, name), f"{base}, row {row_type}")
     else:
-        found = _merged(packed, blocks, window, schema.rpartition(",")[0])
+        found = _merged(packed, blocks, window, base)
     hit = n_hit(F.col("hits"))
     flag = (hit > 0) & (20 * hit >= F.col("n_words"))
     out = F.struct("n_words", hit.alias("n_hit"), "items", "spans", flag.alias("contaminated"))
