@@ -56,7 +56,7 @@ def _reload(spark, sf_dir, fmt):
     save(source, path, fmt)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.df.schema)
     config = {
-        "type": "file", "path": path, "format": "jsonl" if fmt == "json" else fmt,
+        "type": "file", "path": path, "format": fmt,
         "key_columns": ["o_orderkey"], "time_column": "o_orderdate", "target_column": "o_totalprice",
     }
     if fmt != "parquet":

@@ -64,11 +64,19 @@ def read_file(spark: SparkSession, config: dict) -> DataFrame:
         return reader.options(**options).csv(path)
     if fmt in ("json", "jsonl"):
         # An array of records spans lines; one record per line can be split by Spark.
-        options.setdefault("multiLine", fmt == "json")
+        if fmt == "json" and "multiLine" not in options:
+            options["multiLine"] = _spans_lines(spark, path)
         return reader.options(**options).json(path)
     return reader.options(**options).parquet(path)
 
 
+def _spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether JSON starts with an array, or with a record that its first line does not close."""
+    line = spark.read.text(path).filter("trim(value) <> ''").first()
+    start = line.value.strip() if line else ""
+    return start.startswith("[") or (start.startswith("{") and not start.endswith("}"))
+
+
 def _checked(name: str, what: str) -> str:
     if not _NAME.fullmatch(name):
         raise ValueError(f"{what} name {name!r} may hold letters, digits, _ and . only")
@@ -128,7 +136,7 @@ def load(spark: SparkSession, config: dict, auto_format: bool = True) -> TimeSer
     kind = config.get("type")
     if kind not in READERS:
         raise ValueError(f"Unknown source type {kind!r}; use one of {list(READERS)}")
-    df = apply_filters(READERS[kind](spark, config), config.get("filters"))
+    df = READERS[kind](spark, config)
     time_col = config.get("time_column")
     if time_col is None:
         from chronoloom.frame import detect_time_column
@@ -139,7 +147,11 @@ def load(spark: SparkSession, config: dict, auto_format: bool = True) -> TimeSer
             data = config["data"]
             frame = pd.DataFrame(data).reset_index(drop=True)
             frame.insert(0, "index", range(len(frame)))
-            df, time_col = spark.createDataFrame(frame), "index"
+            kinds = {f.name: f.dataType for f in df.schema}
+            df = spark.createDataFrame(frame)
+            df = df.select("index", *[df[c].cast(kinds[c]) for c in df.columns if c in kinds])
+            time_col = "index"
+    df = apply_filters(df, config.get("filters"))
     tsf = with_roles(
         df,
         config.get("key_columns", ()),

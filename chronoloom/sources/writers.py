@@ -16,8 +16,7 @@ def save(
 ) -> None:
     """Write csv, parquet or json. An existing path is refused unless `overwrite`.
 
-    JSON is one record per line, with the time under its own column name, and can be
-    loaded again with format `jsonl`.
+    JSON is one record per line, with the time under its own column name.
     """
     if format not in ("csv", "parquet", "json"):
         raise ValueError(f"Unsupported format {format!r}; use csv, parquet or json")

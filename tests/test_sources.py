@@ -48,7 +48,7 @@ def test_save_and_load(spark, tmp_path, fmt):
         save(tsf, path, fmt)
     save(tsf, path, fmt, overwrite=True)
     config = {
-        "type": "file", "path": path, "format": "jsonl" if fmt == "json" else fmt, "key_columns": ["k"],
+        "type": "file", "path": path, "format": fmt, "key_columns": ["k"],
         "time_column": "ts", "target_column": "y", "schema": "k string, ts timestamp_ntz, y double",
     }
     assert collected(load(spark, config, False).df) == collected(tsf.df)
@@ -149,3 +149,15 @@ def test_shared_dir_follows_the_session(spark):
     conf.clear()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(cluster, "x")
+
+
+def test_inline_without_time_is_filtered(spark):
+    config = {"type": "inline", "data": {"y": [1, 2, 3, 4]}, "target_column": "y", "filters": {"y": ">= 3"}}
+    tsf = load(spark, config, auto_format=False)
+    assert sorted(tuple(r) for r in tsf.df.select("index", "y").collect()) == [(2, 3), (3, 4)]
+
+
+def test_json_lines_are_all_read(spark, tmp_path):
+    (tmp_path / "a.json").write_text("".join(f'{{"date": "2024-01-0{i}", "v": {i}}}\n' for i in range(1, 8)))
+    tsf = load(spark, {"type": "file", "path": f"{tmp_path}/a.json", "time_column": "date", "target_column": "v"}, auto_format=False)
+    assert tsf.df.count() == 7
