@@ -139,7 +139,9 @@ def measure(docs: DataFrame, text_col: str = "text", min_left: int = 50) -> Data
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     kept = ~F.col("base_failed") & (100 * F.col("n_left_words") >= min_left * F.col("n_words"))
     x = x.withColumn("base_failed", failed).withColumn("kept", kept)
-    return x.select("row.*", F.struct(*[c for c in x.columns if c != "row"]).alias("quality"))
+    measured = F.struct("row", F.struct(*[c for c in x.columns if c != "row"]).alias("quality"))
+    # A filter on the result must not be pushed down into the expressions, which it would repeat.
+    return x.select(F.explode(F.array(measured)).alias("m")).select("m.row.*", "m.quality")
 
 
 def clean(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", **options) -> DataFrame:
