@@ -210,7 +210,7 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encode(key: tuple):
+def _encode(key: tuple, check: bool):
     def fn(batches):
         if key not in _encoders:
             _encoders[key] = Encoder(*key)
@@ -231,7 +231,11 @@ def _encode(key: tuple):
                 offs = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 mask = pa.array([x is None for x in ids])
                 pieces = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat), mask=mask)
-                yield pa.RecordBatch.from_arrays([pieces, part.column(2)], names=["pieces", "row"])
+                cols, names = [pieces, part.column(2)], ["pieces", "row"]
+                if check:  # here, and not in a second Python worker for each task
+                    same = [x is None or decode_ids(encoder.v, x) == t for t, x in zip(texts[a:b], ids)]
+                    cols, names = [*cols, pa.array(same, pa.bool_())], [*names, "same"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
                 a = b
 
     return fn
@@ -245,22 +249,27 @@ def encode(
     seed: int = 0,
     dropout: float = 0.1,
     draws: int = 4,
+    lossless: bool = False,
 ) -> DataFrame:
     """The documents with `pieces`, the piece ids of their texts as array<int>.
 
     `draws` is the number of different dropout draws for a word; a document's draw follows from
     the seed and its id. A null text has null pieces, an empty one an empty array; a null id
-    counts as an empty name. A column called `pieces` is replaced, all others are kept. The
-    model file must be at the same path on every machine.
+    counts as an empty name. A column called `pieces` is replaced, all others are kept. With
+    `lossless`, a column of this name says whether the pieces decode to the text again; it is true
+    for null. The model file must be at the same path on every machine.
     """
     if not 0 <= dropout < 1 or draws < 1:
         raise ValueError("dropout must be in [0, 1) and draws at least 1")
-    cols = [F.col(c) for c in docs.columns if c != "pieces"]
+    made = ["pieces", "lossless"] if lossless else ["pieces"]
+    cols = [F.col(c) for c in docs.columns if c not in made]
     packed = docs.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.struct(*cols).alias("row")
     )
     schema = "pieces array<int>, row " + packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(_encode((model, seed, dropout, draws)), schema).select("row.*", "pieces")
+    schema += ", same boolean" if lossless else ""
+    coded = packed.mapInArrow(_encode((model, seed, dropout, draws), lossless), schema)
+    return coded.select("row.*", "pieces", *([F.col("same").alias("lossless")] if lossless else []))
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:
@@ -282,11 +291,10 @@ def decoded(spark: SparkSession, model: str = MODEL):
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, **options) -> DataFrame:
     """Per document the number of pieces, a hash of them, and whether they decode to the text."""
-    coded = encode(docs, id_col, text_col, model, **options)
-    text = decoded(docs.sparkSession, model)(F.col("pieces"))
+    coded = encode(docs, id_col, text_col, model, lossless=True, **options)
     return coded.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint").alias("n_pieces"),
         F.xxhash64("pieces").alias("pieces_hash"),
-        text.eqNullSafe(F.col(text_col)).alias("lossless"),
+        "lossless",
     )

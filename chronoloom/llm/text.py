@@ -6,7 +6,6 @@ feed, so that no word spans two texts.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable
 
 import numpy as np
@@ -25,20 +24,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse, modulo 2**64, for i under n."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        a = np.full(n, b, U)
-        a[0] = 1
-        out.append(np.multiply.accumulate(a))
-    return out[0], out[1]
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    return _powers(base, size)
+    """base**i and its inverse, modulo 2**64, for i under n at least; one table a base is kept."""
+    if base not in _tables or len(_tables[base][0]) < n:
+        size = 1 << max(16, int(n).bit_length())
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            a = np.full(size, b, U)
+            a[0] = 1
+            out.append(np.multiply.accumulate(a))
+        _tables[base] = (out[0], out[1])
+    return _tables[base]
 
 
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chronoloom.llm import debruijn, decontaminate, jaccard_join, pieces, quality
 from chronoloom.llm.exchange import written
@@ -34,9 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they decode to its text."""
-    coded = pieces.encode(docs)
-    text = pieces.decoded(spark)(F.col("pieces"))
-    return coded.select("doc_id", "pieces", text.eqNullSafe(F.col("text")).alias("lossless"))
+    return pieces.encode(docs, lossless=True).select("doc_id", "pieces", "lossless")
 
 
 STAGES = [
