@@ -40,12 +40,12 @@ class SES(Forecaster):
             F.array_sort(F.collect_list(F.struct(tsf.ts.alias("t"), tsf.y.alias("y")))).alias("ys"),
         )
         alphas = F.array(*[F.lit(a) for a in self.grid])
-        maps = per_chunk.withColumn("maps", F.transform(alphas, lambda a: _ses_map("ys", a)))
+        maps = per_chunk.withColumn("maps", F.transform(alphas, lambda a: _ses_map("ys", F.col("first"), a)))
         series = maps.groupBy(*tsf.keys).agg(
             F.max("cutoff").alias("cutoff"),
             F.sum("n").alias("n"),
             F.min_by("first", CHUNK).alias("first"),
-            F.array_sort(F.collect_list(F.struct(CHUNK, "maps"))).alias("chunks"),
+            F.array_sort(F.collect_list(F.struct(CHUNK, F.col("first").alias("base"), "maps"))).alias("chunks"),
         )
         fits = F.transform(
             F.sequence(F.lit(0), F.lit(len(self.grid) - 1)),
@@ -69,18 +69,23 @@ class SES(Forecaster):
         raise NotImplementedError("Smoothers weigh the whole past; fit again")
 
 
-def _ses_map(ys: str, alpha: Column) -> Column:
-    """level_out = a * level_in + b, and SSE = s0 - 2 s1 level_in + s2 level_in^2."""
+def _ses_map(ys: str, base: Column, alpha: Column) -> Column:
+    """level_out = a * level_in + b, and SSE = s0 - 2 s1 level_in + s2 level_in^2.
+
+    Levels and values count from `base`, the chunk's first value, so that the squares do not
+    cancel in series far from zero.
+    """
     start = F.struct(
         F.lit(1.0).alias("a"), F.lit(0.0).alias("b"),
         F.lit(0.0).alias("s0"), F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2"),
     )
 
     def step(s, row):
-        rest = row["y"] - s["b"]
+        value = row["y"] - base
+        rest = value - s["b"]
         return F.struct(
             ((1 - alpha) * s["a"]).alias("a"),
-            (alpha * row["y"] + (1 - alpha) * s["b"]).alias("b"),
+            (alpha * value + (1 - alpha) * s["b"]).alias("b"),
             (s["s0"] + rest * rest).alias("s0"),
             (s["s1"] + rest * s["a"]).alias("s1"),
             (s["s2"] + s["a"] * s["a"]).alias("s2"),
@@ -93,9 +98,9 @@ def _ses_compose(chunks: str, first: Column, i: Column, alpha: Column) -> Column
     start = F.struct(first.alias("level"), F.lit(0.0).alias("sse"))
 
     def step(s, chunk):
-        m, level = F.get(chunk["maps"], i), s["level"]
+        m, level = F.get(chunk["maps"], i), s["level"] - chunk["base"]
         return F.struct(
-            (m["a"] * level + m["b"]).alias("level"),
+            (chunk["base"] + m["a"] * level + m["b"]).alias("level"),
             (s["sse"] + m["s0"] - 2 * m["s1"] * level + m["s2"] * level * level).alias("sse"),
         )
 

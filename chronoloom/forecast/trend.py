@@ -219,19 +219,21 @@ class AR1(Forecaster):
 class PooledAR(Forecaster):
     """One linear autoregression over p lags, fitted on the rows of all series together.
 
-    The rows are reduced to one (p+1)-square system by MLlib's normal solver; each
-    series keeps its last p values as state.
+    The rows are reduced to their means and covariances, and one p-square system is solved;
+    each series keeps its last p values as state. With `by`, some of the keys, every value of
+    these has a model of its own; so folds of a cross-validation never learn from each other.
+    Series with fewer than p values get NULL forecasts.
     """
 
-    def __init__(self, p: int = 3):
+    def __init__(self, p: int = 3, by: tuple[str, ...] = ()):
         if p < 1:
             raise ValueError("p must be positive")
-        self.p = p
+        self.p, self.by = p, tuple(by)
 
-    def fit(self, tsf, residuals=False):
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.regression import LinearRegression
+    def within(self, *by: str) -> "PooledAR":
+        return PooledAR(self.p, (*self.by, *by))
 
+    def fit(self, tsf, residuals=False):
         if residuals:
             raise NotImplementedError("PooledAR has no intervals")
         known = tsf.with_df(tsf.df.where(tsf.y.isNotNull()))
@@ -239,19 +241,31 @@ class PooledAR(Forecaster):
         rows = lagged(known, {c: (tsf.target, i + 1) for i, c in enumerate(names)}).df.dropna(
             subset=names
         )
-        data = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-        model = LinearRegression(labelCol=tsf.target, solver="normal", regParam=0.0).fit(
-            data.select("features", tsf.target)
+        size = range(self.p)
+        x = [F.col(c) for c in names]
+        model = rows.groupBy(*self.by).agg(
+            F.count(tsf.y).alias("__rows"),
+            F.array(*[F.covar_pop(x[max(i, j)], x[min(i, j)]) for i in size for j in size]).alias("__cov"),
+            F.array(*[F.covar_pop(v, tsf.y) for v in x]).alias("__cross"),
+            F.array(*[F.avg(v) for v in x]).alias("__means"), F.avg(tsf.y).alias("__mean"),
+        )
+        model = model.where("__rows > 0").withColumn("weights", _solve("__cov", "__cross"))
+        line = F.aggregate(
+            F.zip_with("weights", "__means", lambda w, m: w * m), F.lit(0.0), lambda a, v: a + v
         )
-        weights = [float(v) for v in model.coefficients]
+        model = model.select(*self.by, "weights", (F.col("__mean") - line).alias("intercept"))
         from chronoloom.forecast.naive import SeasonalNaive
 
         params = SeasonalNaive(self.p).fit(known)
-        return params.select(
-            *tsf.keys, "cutoff", "step", "n", F.col("season").alias("recent"),
-            F.array(*[F.lit(w) for w in weights]).alias("weights"),
-            F.lit(float(model.intercept)).alias("intercept"),
-        ).where(F.size("recent") == self.p)
+        params = params.select(*tsf.keys, "cutoff", "step", "n", F.col("season").alias("recent"))
+        if self.by:
+            return null_safe_join(params, model, self.by, "left")
+        only = model.first()  # p + 1 numbers
+        if only is None:
+            raise ValueError(f"No series has more than {self.p} values")
+        return params.withColumn("weights", F.array(*[F.lit(w) for w in only.weights])).withColumn(
+            "intercept", F.lit(only.intercept)
+        )
 
     def forecast(self, params: DataFrame, horizon=DEFAULT_HORIZON):
         keys = keys_of(params)
@@ -260,9 +274,12 @@ class PooledAR(Forecaster):
         def step(state, _):
             value = F.col("intercept")
             for i in range(p):
-                value = value + F.col("weights")[i] * F.element_at(state, -(i + 1))
+                value = value + F.col("weights")[i] * F.try_element_at(state, F.lit(-(i + 1)))
             return F.concat(state, F.array(value))
 
         path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("recent"), step)
         out = future(params.withColumn("__path", path), horizon)
-        return out.select(*keys, "ts", "h", F.get("__path", F.col("h") + p - 1).alias("yhat"))
+        known = F.size("recent") == p
+        return out.select(
+            *keys, "ts", "h", F.when(known, F.get("__path", F.col("h") + p - 1)).alias("yhat")
+        )

@@ -26,7 +26,8 @@ class TimeSeriesFrame:
     """Long rows `(keys…, time, target, exog…)`; one series per key.
 
     `measure` caches how series must be cut: width 0 means that every series was
-    measured to fit one task, a positive width is the chunk size in ticks.
+    measured to fit one task, a positive width is the chunk size in ticks. `bound`, if
+    given, has one row with a number that no series has more rows than.
     """
 
     df: DataFrame
@@ -38,6 +39,7 @@ class TimeSeriesFrame:
     ties: tuple[str, ...] = ()
     max_rows: int = MAX_SERIES_ROWS
     span: tuple[DataFrame, str] | None = None
+    bound: DataFrame | None = None
     cache: dict = field(default_factory=dict, compare=False, repr=False)
 
     @property
@@ -76,6 +78,8 @@ class TimeSeriesFrame:
 def _measure(tsf: TimeSeriesFrame) -> int:
     if tsf.span is not None and tsf.freq is not None:
         return _measure_by_span(tsf)
+    if tsf.bound is not None and (tsf.bound.first()[0] or 0) <= tsf.max_rows:
+        return 0
     position = ticks(F.col(tsf.time), tsf.time_type)
     bucket = 1 << 20 if is_integer(tsf.time_type) else DAY
     limit, width = tsf.max_rows, 0

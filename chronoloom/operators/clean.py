@@ -258,7 +258,7 @@ def _fill_grid(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
     No join with a generated grid: the one exchange is that of the series window.
     """
     dtype, step = tsf.time_type, F.col("__step")
-    kept = tsf.with_df(tsf.df.where("__on"))
+    kept = tsf.with_df(tsf.df.where(F.col("__on") & tsf.ts.isNotNull()))
     nxt = nearby(kept, 0, 1, lambda w: {"__next": F.lead("__k", 1).over(w)})
     last = F.when(step.isNull(), F.col("__k")).otherwise(
         F.coalesce(F.col("__next") - 1, F.col("__k"))
@@ -276,7 +276,11 @@ def _fill_grid(tsf: TimeSeriesFrame) -> TimeSeriesFrame:
         if c in tsf.keys or c.startswith("__"):
             continue
         cols.append((time if c == tsf.time else F.when(~new, F.col(c))).alias(c))
-    return tsf.with_df(df.select(*tsf.keys, *cols, new.alias("__gap")))
+    # Series are longer than before, so they are measured anew. Those that fitted a task have
+    # at most as many rows as grid points, or as before where there is no step.
+    bound = None if tsf.width else kept.df.agg((F.max("__k") + 1).alias("rows"))
+    out = df.select(*tsf.keys, *cols, new.alias("__gap"))
+    return tsf.with_df(out, cache={}, bound=bound)
 
 
 def regular_grid(tsf: TimeSeriesFrame, freq: str | None = None, anchor="start") -> TimeSeriesFrame:
@@ -355,7 +359,8 @@ def format_series(
 
     A frequency given on the frame is used for all series. Otherwise each series gets
     its own, and with `infer_freq=False` none. The input frame stays as it was.
-    The report has one row per series.
+    The report has one row per series. Rows without a time are left out of the frame and
+    counted as `null_time_rows`.
     """
     keys = list(tsf.keys)
     if remove_duplicates:
@@ -385,13 +390,14 @@ def format_series(
 
 def _format_report(marked: TimeSeriesFrame, fill: str | None) -> DataFrame:
     """One row per series. The grid need not be built to count it."""
-    on = F.col("__on")
+    on, timed = F.col("__on"), marked.ts.isNotNull()
     stats = marked.df.groupBy(*marked.keys).agg(
         F.sum("__copies").alias("rows_in"),
-        F.sum(F.col("__copies") - 1).alias("duplicates_removed"),
+        F.sum(F.when(timed, F.col("__copies") - 1).otherwise(0)).alias("duplicates_removed"),
         F.max("__freq").alias("frequency"),
-        F.count_if(~on).alias("off_grid_rows"),
-        F.count_if(on).alias("__kept"),
+        F.count_if(timed & ~on).alias("off_grid_rows"),
+        F.sum(F.when(~timed, F.col("__copies")).otherwise(0)).alias("null_time_rows"),
+        F.count_if(timed & on).alias("__kept"),
         F.max(F.when(F.col("__step").isNotNull() & on, F.col("__k") + 1)).alias("__points"),
         F.count_if(on & F.col(marked.target).isNull()).alias("__null"),
     )
@@ -399,7 +405,7 @@ def _format_report(marked: TimeSeriesFrame, fill: str | None) -> DataFrame:
     gaps = points - F.col("__kept")
     filled_ = gaps + F.col("__null") if fill else F.lit(0).cast("bigint")
     return stats.select(
-        *marked.keys, "rows_in", "duplicates_removed", "frequency", "off_grid_rows",
+        *marked.keys, "rows_in", "duplicates_removed", "frequency", "off_grid_rows", "null_time_rows",
         points.alias("rows_out"), gaps.alias("gaps_filled"), filled_.alias("missing_filled"),
         F.col("frequency").isNotNull().alias("frequency_set"),
     )

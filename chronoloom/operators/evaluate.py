@@ -60,6 +60,8 @@ def _refit_predictions(forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Fold
     rows = folds.expand(tsf)
     keys = [*tsf.keys, "fold"]
     train = replace(tsf, df=rows.where("role = 'train'"), keys=tuple(keys), span=None)
+    if hasattr(forecaster, "within"):  # pooled over series, but never over folds
+        forecaster = forecaster.within("fold")
     params = forecaster.fit(train)
     more = {}
     if tsf.exog and hasattr(forecaster, "exog"):

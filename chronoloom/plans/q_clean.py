@@ -172,7 +172,7 @@ def format_all(spark, sf_dir):
         o AS (SELECT user_id, count(*) AS rows_out, count(*) - count(value) AS gaps FROM r GROUP BY 1),
         k AS (SELECT user_id, count(*) AS kept FROM u GROUP BY 1)
         SELECT user_id, rows_in, rows_in - kept AS duplicates_removed, 'D' AS frequency,
-               CAST(0 AS BIGINT) AS off_grid_rows, rows_out, gaps AS gaps_filled, gaps AS missing_filled
+               CAST(0 AS BIGINT) AS off_grid_rows, CAST(0 AS BIGINT) AS null_time_rows, rows_out, gaps AS gaps_filled, gaps AS missing_filled
         FROM i JOIN o USING (user_id) JOIN k USING (user_id)"""
 )
 def format_report(spark, sf_dir):

@@ -33,8 +33,9 @@ _SCORE = """s AS (SELECT p_partkey, p_name, CASE WHEN lower(p_name) = '{0}' THEN
         SELECT p_partkey, p_name, CAST(score AS INTEGER) AS score FROM s WHERE score IS NOT NULL"""
 )
 def search_exact(spark, sf_dir):
-    found = ranked_search(table(spark, sf_dir, "part"), "Red Widget", ["p_name", "p_brand", "p_type"])
-    return found.select("p_partkey", "p_name", "score")
+    cols = ["p_name", "p_brand", "p_type"]
+    found = ranked_search(table(spark, sf_dir, "part"), "Red Widget", cols)
+    return found.orderBy(*rank_order(cols, "p_partkey")).select("p_partkey", "p_name", "score")
 
 
 @query(
@@ -42,8 +43,9 @@ def search_exact(spark, sf_dir):
         SELECT p_partkey, p_name, CAST(score AS INTEGER) AS score FROM s WHERE score IS NOT NULL"""
 )
 def search_ranked(spark, sf_dir):
-    found = ranked_search(table(spark, sf_dir, "part"), " Red ", ["p_name", "p_brand", "p_type"])
-    return found.select("p_partkey", "p_name", "score")
+    cols = ["p_name", "p_brand", "p_type"]
+    found = ranked_search(table(spark, sf_dir, "part"), " Red ", cols)
+    return found.orderBy(*rank_order(cols, "p_partkey")).select("p_partkey", "p_name", "score")
 
 
 @query(
