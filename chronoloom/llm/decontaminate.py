@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.llm.exchange import written
+from chronoloom.llm.text import give_back
 
 _TABLE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -125,6 +126,7 @@ def _scanner(items, size: int, name: str):
                 ],
                 names=["n_words", "hits", "items", "spans", *batch.schema.names[1:]],
             )
+        give_back()
 
     return fn
 

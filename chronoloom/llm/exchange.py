@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.text import U
+from chronoloom.llm.text import U, give_back
 from chronoloom.shared import shared_dir
 
 BUCKET = "__bucket"
@@ -77,6 +77,7 @@ def _ask(keys_of: Callable, targets: int) -> Callable:
         keys, counts = np.unique(keys_of(ordered(table)), return_counts=True)
         cut = np.searchsorted(target_of(keys, targets), np.arange(targets + 1))
         have = np.flatnonzero(np.diff(cut))
+        give_back()
         counts = counts.astype(np.int64)
         return pa.table(
             {
@@ -106,6 +107,8 @@ def _answer(hot: int) -> Callable:
         planes[:, by] = totals > 1, fresh, totals > hot
         ends = np.cumsum(sizes)
         bits = [np.packbits(planes[:, e - n : e]).tobytes() for e, n in zip(ends, sizes)]
+        del packs, keys, counts, by, totals
+        give_back()
         return pa.table(
             {
                 BUCKET: pa.array(buckets[order], pa.int32()),
@@ -151,6 +154,8 @@ def bucket_map(buckets: Buckets, other: DataFrame, fn: Callable, schema: str, fu
     id_col, text_col = (buckets.id_col, buckets.text_col) if full else ("id", "text")
 
     def both(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        return fn(ordered(mine, id_col, text_col), theirs)
+        out = fn(ordered(mine, id_col, text_col), theirs)
+        give_back()
+        return out
 
     return docs.groupBy(BUCKET).cogroup(other.groupBy(BUCKET)).applyInArrow(both, schema)

@@ -21,14 +21,14 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm.text import U, mix
+from chronoloom.llm.text import U, give_back, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Stands for a SPACE character of the text itself, which goes into byte pieces; no text holds it.
 _LITERAL = "\ud800"
 _UNITS = re.compile("▁*[^▁\n]+|▁+|\n")
-CACHE = 400_000
+CACHE = 200_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -237,6 +237,7 @@ def _encode(key: tuple, check: bool):
                     cols, names = [*cols, pa.array(same, pa.bool_())], [*names, "same"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
                 a = b
+        give_back()
 
     return fn
 

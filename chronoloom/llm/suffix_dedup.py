@@ -40,7 +40,7 @@ from chronoloom.llm.exchange import (
     target_of,
     text_bytes,
 )
-from chronoloom.llm.text import Texts, U, covered, mix, powers, window_min
+from chronoloom.llm.text import Texts, U, covered, inverse_powers, mix, powers, window_min
 
 GRAM = 8
 CHUNK = 1 << 20
@@ -95,11 +95,11 @@ class _Bucket:
         self.keys = self.hashes(self.p, self.p + self.half)
 
     def hashes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        pw, inverse = powers(_BASE, len(self.texts.buf) + 1)
         if self.sums is None:
-            self.sums = np.zeros(len(self.texts.buf) + 1, U)
-            np.cumsum((self.texts.buf + U(1)) * pw[: len(self.texts.buf)], out=self.sums[1:])
-        return mix((self.sums[b] - self.sums[a]) * inverse[a])
+            n = len(self.texts.buf)
+            self.sums = np.zeros(n + 1, U)
+            np.cumsum((self.texts.buf + U(1)) * powers(_BASE, n), out=self.sums[1:])
+        return mix((self.sums[b] - self.sums[a]) * inverse_powers(_BASE, a))
 
 
 def _shared(rows: np.ndarray, lens: np.ndarray) -> np.ndarray:

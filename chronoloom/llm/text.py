@@ -6,13 +6,17 @@ feed, so that no word spans two texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93)
 _WORD_BASES = (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)
+#: Of the usual C library only.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -24,28 +28,49 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+STEP = 1 << 12
+_ladders: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse, modulo 2**64, for i under n at least; one table a base is kept."""
-    if base not in _tables or len(_tables[base][0]) < n:
-        size = 1 << max(16, int(n).bit_length())
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
+def _ladder(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i for i under STEP, and base**(i * STEP) up to n at least, modulo 2**64.
+
+    Only these short tables are kept by a worker; any power is a product of two entries.
+    """
+    if base not in _ladders or len(_ladders[base][1]) * STEP < n:
+        rungs = []
+        for b, size in ((base, STEP), (pow(base, STEP, 1 << 64), 1 << (n // STEP).bit_length())):
             a = np.full(size, b, U)
             a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        _tables[base] = (out[0], out[1])
-    return _tables[base]
+            rungs.append(np.multiply.accumulate(a))
+        _ladders[base] = (rungs[0], rungs[1])
+    return _ladders[base]
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo 2**64 for i under n."""
+    low, high = _ladder(base, n)
+    return np.multiply.outer(high[: -(-n // STEP)], low).ravel()[:n]
+
+
+def inverse_powers(base: int, at: np.ndarray) -> np.ndarray:
+    """base**-i modulo 2**64 for each i of `at`."""
+    low, high = _ladder(pow(base, -1, 1 << 64), int(at.max(initial=0)) + 1)
+    return low[at % STEP] * high[at // STEP]
+
+
+def give_back() -> None:
+    """Hands memory that this worker has freed back to the machine, which its neighbours share."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of values[starts[i]:ends[i]], equal for equal contents."""
-    pw, inverse = powers(base, len(values) + 1)
     sums = np.zeros(len(values) + 1, U)
-    np.cumsum((values + U(1)) * pw[: len(values)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
+    np.cumsum((values + U(1)) * powers(base, len(values)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * inverse_powers(base, starts)
     return mix(h + (ends - starts).astype(U) * U(0xFF51AFD7ED558CCD))
 
 
