@@ -51,9 +51,15 @@ POINT: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
+#: Metrics that also need the training rows.
+SCALED = ("mase",)
+
+
 def resolve(name: str) -> Callable[[Column, Column], Column]:
+    if name in SCALED:
+        raise ValueError(f"Metric {name!r} needs the training rows; use evaluate")
     if name not in POINT:
-        raise ValueError(f"Unknown metric {name!r}; use one of {list(POINT)}")
+        raise ValueError(f"Unknown metric {name!r}; use one of {[*POINT, *SCALED]}")
     return POINT[name]
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.forecast.base import Forecaster
+from chronoloom.forecast.naive import NaiveMean
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions import metrics as M
-from chronoloom.functions.ordered import null_safe_join
+from chronoloom.functions.ordered import lagged, null_safe_join
 from chronoloom.operators.split import Folds
 
 
@@ -40,9 +41,11 @@ def cv_predictions(forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Folds) -
     )
 
 
-def _rolling_predictions(tsf: TimeSeriesFrame, df: DataFrame, folds: Folds) -> DataFrame:
+def _rolling_predictions(
+    tsf: TimeSeriesFrame, df: DataFrame, folds: Folds, fh: tuple[int, ...] | None = None
+) -> DataFrame:
     steps = F.array(
-        *[F.struct(F.lit(h).alias("h"), F.col(f"yhat_{h}").alias("yhat")) for h in folds.fh]
+        *[F.struct(F.lit(h).alias("h"), F.col(f"yhat_{h}").alias("yhat")) for h in fh or folds.fh]
     )
     rows = df.select(
         *tsf.keys, tsf.ts.alias("ts"), tsf.y.alias("y"), "pos", "n", F.explode(steps).alias("s")
@@ -78,17 +81,50 @@ def evaluate(
     tsf: TimeSeriesFrame,
     folds: Folds | None = None,
     metrics: Iterable[str] = ("mape",),
+    sp: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """(scores per key and fold, summary per key and metric). A missing score fails the job."""
+    """(scores per key and fold, summary per key and metric). A missing score fails the job.
+
+    The metric `mase` is scaled by the seasonal differences, `sp` rows apart, of the rows that
+    the fold trains on; the job fails if a fold has none.
+    """
     metrics = list(metrics)
     for m in metrics:
-        M.resolve(m)
+        if m not in M.SCALED:
+            M.resolve(m)
     folds = folds or Folds(cv_folds=3)
     preds = cv_predictions(forecaster, tsf, folds)
-    scores = M.score(preds, metrics, by=[*tsf.keys, "fold"])
+    by = [*tsf.keys, "fold"]
+    plain = [m for m in metrics if m not in M.SCALED]
+    if len(plain) == len(metrics):
+        scores = M.score(preds, metrics, by=by)
+    else:
+        errors = preds.groupBy(*by).agg(
+            *[M.resolve(m)(F.col("y"), F.col("yhat")).alias(m) for m in plain],
+            M.mae(F.col("y"), F.col("yhat")).alias("__mae"),
+        )
+        scores = null_safe_join(errors, training_scales(tsf, folds, sp), by, "left")
+        none = F.raise_error(F.concat(F.lit("No seasonal difference to scale by at "), F.to_json(F.struct(*by))))
+        scale = F.coalesce("scale", none.cast("double"))
+        scores = scores.withColumn("mase", F.col("__mae") / F.greatest(scale, F.lit(M.EPS))).select(*by, *metrics)
     return scores, cv_summary(scores, tsf.keys, metrics)
 
 
+def training_scales(tsf: TimeSeriesFrame, folds: Folds, sp: int = 1) -> DataFrame:
+    """`(keys…, fold, scale)`: mean absolute seasonal difference of the rows each fold trains on.
+
+    All folds come from one running mean of the differences; a window of w rows holds the last
+    w - sp of them.
+    """
+    if sp < 1 or (folds.window and folds.window <= sp):
+        raise ValueError("sp must be positive and less than the window")
+    gaps = lagged(tsf, {"__lag": (tsf.target, sp)})
+    gaps = gaps.with_df(gaps.df.withColumn(tsf.target, F.abs(tsf.y - F.col("__lag"))).drop("__lag"))
+    fh = folds.fh[:1]
+    means = NaiveMean().rolling(gaps, fh, folds.window and folds.window - sp)
+    return _rolling_predictions(gaps, means.df, folds, fh).select(*tsf.keys, "fold", F.col("yhat").alias("scale"))
+
+
 def cv_summary(scores: DataFrame, keys: Iterable[str], metrics: Iterable[str]) -> DataFrame:
     """`(keys…, metric, mean, std, min, max)`; std is NULL for one fold."""
     long = scores.select(

@@ -12,6 +12,7 @@ from chronoloom.operators.clean import (
 from chronoloom.plans.panels import BY_PRIORITY, BY_USER, by_priority, by_user
 from chronoloom.plans.registry import flag, query
 from chronoloom.sources.datasets import table
+from chronoloom.sources.readers import load
 
 
 def _hourly(spark, sf_dir, unit="hour"):
@@ -167,6 +168,21 @@ def format_all(spark, sf_dir):
     return format_series(_hourly(spark, sf_dir, "day"))[0].df.select("user_id", "ts", "value", "event_id")
 
 
+@query(
+    f"""WITH {_DAILY} SELECT user_id, ts, {_FILL.format('value')} AS value,
+        {_FILL.format('event_id')} AS event_id FROM r"""
+)
+def load_formatted(spark, sf_dir):
+    # As format_all, from the source to the regular grid in one call.
+    events = table(spark, sf_dir, "events")
+    events.withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz")).createOrReplaceTempView("src_days")
+    config = {
+        "type": "sql", "table": "src_days", "key_columns": ["user_id"], "time_column": "ts", "target_column": "value",
+        "exog_columns": ["event_id"], "tie_columns": ["event_id"], "frequency": "D",
+    }
+    return load(spark, config).df.select("user_id", "ts", "value", "event_id")
+
+
 @query(
     f"""WITH {_DAILY}, i AS (SELECT user_id, count(*) AS rows_in FROM d GROUP BY 1),
         o AS (SELECT user_id, count(*) AS rows_out, count(*) - count(value) AS gaps FROM r GROUP BY 1),

@@ -467,6 +467,22 @@ def evaluate_folds(spark, sf_dir):
     return rounded(scores, "mape", digits=9)
 
 
+@query(
+    f"""WITH {_CV}, d AS (
+          SELECT *, abs(y - lag(y, 7) OVER (PARTITION BY event_type ORDER BY pos)) AS gap FROM p),
+        f AS (SELECT event_type, fold, avg(abs(y - yhat)) AS mae, min(ts) AS first FROM cv GROUP BY 1, 2),
+        s AS (SELECT f.event_type, f.fold, avg(d.gap) AS scale
+              FROM f JOIN d ON d.event_type = f.event_type AND d.ts < f.first GROUP BY 1, 2)
+        SELECT event_type, fold, round(mae, 6) AS mae, round(mae / greatest(scale, {_EPS}), 9) AS mase
+        FROM f JOIN s USING (event_type, fold)"""
+)
+def evaluate_mase(spark, sf_dir):
+    folds = expanding_folds(cv_folds=14)
+    scores, _ = evaluate(SeasonalNaive(7), by_type(spark, sf_dir), folds, ["mae", "mase"], sp=7)
+    return rounded(rounded(scores, "mae"), "mase", digits=9)
+
+
+
 @query(
     f"""WITH {TYPE_POS}, r AS (SELECT *, (first_value(y) OVER w) AS y0, lag(y) OVER w AS last,
             avg(y) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mean

@@ -77,6 +77,45 @@ def save_reload_json(spark, sf_dir):
     return _reload(spark, sf_dir, "json")
 
 
+@query("SELECT o_orderkey, o_orderdate AS time, o_totalprice, o_orderpriority FROM orders")
+def save_reload_json_time(spark, sf_dir):
+    # Read back by the extension alone, with the types that the records show.
+    source = with_roles(
+        table(spark, sf_dir, "orders"), ["o_orderkey"], "o_orderdate", "o_totalprice", ["o_orderpriority"]
+    )
+    path = shared_dir(spark, "save") + ".json"
+    save(source, path, "json", time_name="time")
+    config = {
+        "type": "file", "path": path, "key_columns": ["o_orderkey"], "time_column": "time",
+        "target_column": "o_totalprice", "exog_columns": ["o_orderpriority"],
+    }
+    return load(spark, config, auto_format=False).df
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem")
+def load_tsv(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz"), F.col("l_quantity").cast("double")
+    )
+    path = shared_dir(spark, "lines") + ".tsv"
+    lines.write.option("sep", "\t").option("header", True).csv(path)
+    config = {
+        "type": "file", "path": path, "key_columns": ["l_orderkey", "l_linenumber"],
+        "time_column": "l_shipdate", "target_column": "l_quantity",
+        "schema": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema),
+    }
+    return load(spark, config, auto_format=False).df
+
+
+@query("SELECT user_id, ts, value FROM events WHERE value >= 20")
+def load_url(spark, sf_dir):
+    config = {
+        "type": "url", "url": f"{sf_dir}/events.parquet", "filters": {"value": ">= 20"}, "key_columns": ["user_id"],
+        "time_column": "ts", "target_column": "value", "exog_columns": [],
+    }
+    return load(spark, config, auto_format=False).df
+
+
 @query(_ORDERS)
 def save_reload_parquet(spark, sf_dir):
     return _reload(spark, sf_dir, "parquet")

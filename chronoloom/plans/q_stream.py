@@ -28,6 +28,13 @@ def stream_dedupe(spark, sf_dir):
     return _ntz(out, "ts")
 
 
+@query("SELECT DISTINCT user_id, event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts FROM events")
+def stream_dedupe_days(spark, sf_dir):
+    # Times cut to the day repeat for a user.
+    days = _events(spark, sf_dir).select("user_id", "event_type", F.date_trunc("day", "ts").alias("ts"))
+    return _ntz(run_append(dedupe_stream(days, ["user_id", "event_type"], "ts", DELAY), "dedupe"), "ts")
+
+
 @query(
     f"""SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, count(*) AS n, round(sum(value), 6) AS total
         FROM events GROUP BY 1, 2 HAVING CAST(date_trunc('day', any_value(events.ts)) AS TIMESTAMP) + INTERVAL 1 DAY <= {_MARK}"""

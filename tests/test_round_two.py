@@ -3,14 +3,18 @@
 import random
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from chronoloom.forecast.naive import NaiveLast
 from chronoloom.forecast.smooth import ALPHAS, SES
 from chronoloom.forecast.trend import PooledAR
 from chronoloom.frame import with_roles
 from chronoloom.operators.clean import format_series, regular_grid
-from chronoloom.operators.evaluate import cv_predictions
-from chronoloom.operators.split import expanding_folds
+from chronoloom.operators.evaluate import cv_predictions, evaluate
+from chronoloom.operators.split import expanding_folds, sliding_folds
+from chronoloom.sources.readers import load
+from chronoloom.sources.writers import save
 from tests.helpers import monthly
 
 
@@ -63,3 +67,35 @@ def test_pooled_folds_do_not_learn_from_each_other(spark):
     alone = PooledAR(2)
     want = alone.forecast(alone.fit(before), 1).first()
     assert abs(first.yhat - want.yhat) < 1e-6
+
+
+def test_scaled_errors_by_fold(spark):
+    values = [3.0, 5, 4, 8, 6, 9, 7, 12, 10, 11]
+    tsf = monthly(spark, values)
+    for folds in (expanding_folds(fh=2, cv_folds=3), sliding_folds(5, step=2, fh=2)):
+        scores, summary = evaluate(NaiveLast(), tsf, folds, ["mase", "mae"], sp=2)
+        assert summary.count() == 2
+        starts = {r.fold: r for r in folds.table(tsf).collect()}
+        seen = scores.collect()
+        assert len(seen) == len(starts) > 1
+        first = folds.initial or len(values) - 2 - (folds.cv_folds - 1) * folds.step
+        for r in seen:
+            end = first + r.fold * folds.step
+            train = values[end - folds.window if folds.window else 0 : end]
+            scale = sum(abs(b - a) for a, b in zip(train, train[2:])) / (len(train) - 2)
+            mae = sum(abs(y - train[-1]) for y in (values[end + h - 1] for h in folds.fh)) / len(folds.fh)
+            assert abs(r.mae - mae) < 1e-9 and abs(r.mase - mae / scale) < 1e-9
+    with pytest.raises(ValueError):
+        evaluate(NaiveLast(), tsf, sliding_folds(5), ["mase"], sp=5)
+    with pytest.raises(Exception, match="No seasonal difference"):
+        evaluate(NaiveLast(), tsf, expanding_folds(cv_folds=2), ["mase"], sp=9)[0].collect()
+
+
+def test_json_with_a_column_called_time(spark, tmp_path):
+    tsf, path = monthly(spark, [1, None, 3]), f"{tmp_path}/a.json"
+    save(tsf, path, "json", time_name="time")
+    config = {"type": "file", "path": path, "key_columns": ["k"], "time_column": "time", "target_column": "y"}
+    got = load(spark, config, False).df
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, tsf.df.collect()), key=str)
+    with pytest.raises(ValueError, match="already"):
+        save(tsf, f"{path}.2", "json", time_name="y")
