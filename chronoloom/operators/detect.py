@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import attach, nearby, positions, running
+from chronoloom.shared import cut_lineage
 
 # Ratio of standard deviation to median absolute deviation under the normal.
 MAD_TO_SIGMA = 1.4826
@@ -48,7 +49,8 @@ def change_points(
 
     Each round splits, per series, the segment whose best split takes most off the sum
     of squares; `pos` and `ts` are the last row before the change. Prefix sums are made
-    once; a round is one aggregate that keeps the best row of each series.
+    once; a round is one aggregate that keeps the best row of each series. With more rounds,
+    the sums and what each round found are checkpointed, so that work grows with the rounds.
     """
     if n_points < 1 or min_size < 1:
         raise ValueError("n_points and min_size must be positive")
@@ -56,6 +58,8 @@ def change_points(
     known = tsf.with_df(tsf.df.where(tsf.y.isNotNull()))
     rows = running(positions(known, "__pos", "__n"), {"__s": ("sum", tsf.y)})
     rows = rows.with_df(rows.df.select(*keys, tsf.time, "__pos", "__n", "__s"))
+    if n_points > 1:
+        rows = rows.with_df(cut_lineage(rows.df))
     segment = F.struct(
         F.lit(0).cast("bigint").alias("a"), (F.max("__n") - 1).alias("b"),
         F.lit(0.0).alias("sa"), F.max_by("__s", "__pos").alias("sb"),
@@ -76,6 +80,8 @@ def change_points(
             ).alias("b")
         )
         best = best.where(F.col("b.gain") > min_gain)
+        if n_points > 1:
+            best = cut_lineage(best)
         part = best.select(*keys, F.lit(number).alias("round"), "b.pos", "b.ts", "b.gain")
         found = part if found is None else found.unionByName(part)
         cut = F.col("b.seg")

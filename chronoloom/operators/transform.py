@@ -12,6 +12,7 @@ from chronoloom.forecast.trend import Trend
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import attach, lagged, nearby, null_safe_join, positions
 from chronoloom.functions.quantiles import with_quantiles
+from chronoloom.shared import cut_lineage
 
 
 class Transformer:
@@ -169,11 +170,13 @@ class Chain:
     forecaster: Forecaster
 
     def fit(self, tsf: TimeSeriesFrame) -> "FittedChain":
+        """Each transformed series is checkpointed, since the next part reads it more than once."""
         tables, current = [], tsf
         for t in self.transforms:
-            table = t.fit(current)
+            table = cut_lineage(t.fit(current))
             tables.append(table)
-            current = t.transform(current, table)
+            moved = t.transform(current, table)
+            current = moved.with_df(cut_lineage(moved.df))
         return FittedChain(self, tuple(tables), self.forecaster.fit(current))
 
 

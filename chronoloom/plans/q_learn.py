@@ -160,7 +160,23 @@ def change_point(spark, sf_dir):
     return rounded(change_points(by_user(spark, sf_dir), 1, min_size=3), "gain", digits=2)
 
 
-@query()
+def _cut_round(k: int) -> str:
+    """Best split of round k; the splits before it number the segments."""
+    after = [f"(SELECT count(*) FROM b{j} WHERE b{j}.priority = p.priority AND b{j}.pos < p.pos)" for j in range(1, k)]
+    return f"""x{k} AS (SELECT priority, pos, ts, y, {' + '.join(after) or '0'} AS seg FROM p),
+        y{k} AS (SELECT *, row_number() OVER w AS l, count(*) OVER v - row_number() OVER w AS r,
+                   sum(y) OVER w AS s, sum(y) OVER v AS t FROM x{k}
+                 WINDOW v AS (PARTITION BY priority, seg), w AS (PARTITION BY priority, seg ORDER BY pos)),
+        z{k} AS (SELECT priority, pos, ts, l * r / (l + r) * pow(s / l - (t - s) / r, 2) AS gain
+                 FROM y{k} WHERE l >= 3 AND r >= 3),
+        b{k} AS (SELECT priority, CAST({k} AS INTEGER) AS round, pos, ts, round(gain, 2) AS gain FROM z{k} WHERE gain > 0
+                 QUALIFY row_number() OVER (PARTITION BY priority ORDER BY round(gain, 9) DESC, pos) = 1)"""
+
+
+@query(
+    f"""WITH {PRIORITY_POS}, {', '.join(_cut_round(k) for k in (1, 2, 3))}
+        SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3"""
+)
 def change_points_three(spark, sf_dir):
     return rounded(change_points(by_priority(spark, sf_dir), 3, min_size=3), "gain", digits=2)
 

@@ -11,8 +11,10 @@ from chronoloom.forecast.smooth import ALPHAS, SES
 from chronoloom.forecast.trend import PooledAR
 from chronoloom.frame import with_roles
 from chronoloom.operators.clean import format_series, regular_grid
+from chronoloom.operators.detect import change_points
 from chronoloom.operators.evaluate import cv_predictions, evaluate
 from chronoloom.operators.split import expanding_folds, sliding_folds
+from chronoloom.operators.transform import Deseasonalise, Detrend, Log, chain
 from chronoloom.sources.readers import load
 from chronoloom.sources.writers import save
 from tests.helpers import monthly
@@ -99,3 +101,18 @@ def test_json_with_a_column_called_time(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, tsf.df.collect()), key=str)
     with pytest.raises(ValueError, match="already"):
         save(tsf, f"{path}.2", "json", time_name="y")
+
+
+def _scans(df):
+    """Leaves of the plan; what was checkpointed is one."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return text.count("LogicalRDD") + text.count("Relation [")
+
+
+def test_plans_grow_with_rounds_and_parts(spark):
+    tsf = monthly(spark, [float(20 + i % 12 + 9 * (i > 30)) for i in range(60)])
+    rounds = [_scans(change_points(tsf, n)) for n in (2, 3, 4)]
+    assert rounds[2] - rounds[1] == rounds[1] - rounds[0] <= 2
+    one = chain(Detrend(), NaiveLast()).fit(tsf)
+    three = chain(Log(), Detrend(), Deseasonalise(12), NaiveLast()).fit(tsf)
+    assert _scans(three.forecast(2)) - _scans(one.forecast(2)) <= 2
