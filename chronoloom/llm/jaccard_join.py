@@ -288,7 +288,10 @@ def join_sets(
     percent: int = 90,
     limit: int = LIMIT,
 ) -> tuple[Buckets, DataFrame]:
-    """Buckets, and for each of their rows (bucket, row, id, size, component_id)."""
+    """Buckets, and for each of their rows (bucket, row, id, size, component, component_id).
+
+    `component` is a number of its own for each component, whatever the ids are.
+    """
     buckets = Buckets(docs, id_col, text_col)
     base = math.log(100 / min(percent, 99))
     lengths = docs.groupBy(F.floor(F.log(F.octet_length(text_col) / 6 + 1) / F.lit(base)).alias("b")).count()
@@ -345,7 +348,7 @@ def join_sets(
     least = named.filter("size > 0").groupBy("component").agg(F.min("id").alias("least"))
     result = named.filter("size > 0").join(least, "component").withColumn("component_id", F.col("least"))
     empty = named.filter("size = 0").withColumn("component_id", F.col("id"))
-    cols = [BUCKET, "row", "id", "size", "component_id"]
+    cols = [BUCKET, "row", "id", "size", "component", "component_id"]
     return buckets, result.select(*cols).union(empty.select(*cols))
 
 
@@ -369,7 +372,8 @@ def _keep(table: pa.Table, rows: pa.Table) -> pa.Table:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with all their columns, one of each linked group: the one with the least id.
 
-    Documents that are linked with nothing stay; of rows that share the least id, one stays.
+    Documents that are linked with nothing stay, whether their ids are null, repeated or neither;
+    of a group's rows that share the least id, one stays.
     """
     buckets, rows = join_sets(docs, id_col, text_col, **options)
     place = F.struct(F.col("id").isNull().alias("none"), "id", BUCKET, "row")
@@ -377,7 +381,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         F.struct(F.lit(-1).alias("a"), F.lit(-1).alias("b"))
     )
     kept = (
-        rows.groupBy("component_id", group.alias("group")).agg(F.min(place).alias("at")).select("at.*")
+        rows.groupBy("component", group.alias("group")).agg(F.min(place).alias("at")).select("at.*")
     ).select(BUCKET, "row")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return bucket_map(buckets, kept, _keep, schema, full=True)

@@ -245,3 +245,10 @@ def test_empty_tables_and_unusual_ids(spark):
     assert {r.n_removed for r in suffix_dedup.dedup_suffixes(odd).collect()} == {0, len(text)}
     assert sorted(r.component_id for r in jaccard_join.link_documents(odd).collect()) == [5, 5, 5, 5]
     assert jaccard_join.keep_one(odd).count() == 2
+
+
+def test_keep_one_does_not_go_by_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, "c"), (7, text("d")), (7, text("e")), (7, text("e")), (7, "f")]
+    kept = jaccard_join.keep_one(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == sorted({x for _, x in rows})
