@@ -2,12 +2,13 @@
 
 Merges are taken from an agenda, best score first and leftmost among equals, as in the usual
 encoder. Each candidate merge is judged once, when it comes up, by a keyed hash of the seed, the
-document's draw, the word and the characters it would join; with probability `dropout` it is
-skipped for good. So a text has many segmentations, each of them the same on every machine and
-after every lost executor, and with dropout 0 the usual one.
+document's id, the word with its place in the document, and the characters it would join; with
+probability `dropout` it is skipped for good. So each occurrence of a word has its own
+segmentation, the same on every machine and after every lost executor, and with dropout 0 the
+usual one.
 
 All words of a batch go through their agendas in step, one merge a word and round, in numpy.
-Words met before with the same draw come from a bounded cache.
+Without dropout, words met before come from a bounded cache.
 """
 
 from __future__ import annotations
@@ -166,44 +167,58 @@ def encode_words(v: Vocabulary, words: list[str], keys: np.ndarray, dropout: flo
 
 
 class Encoder:
-    """Encodes texts; keeps pieces of words met before, up to CACHE of them."""
+    """Encodes texts; without dropout it keeps pieces of words met before, up to CACHE of them."""
 
-    def __init__(self, path: str, seed: int, dropout: float, draws: int):
+    def __init__(self, path: str, seed: int, dropout: float, draws: int | None = None):
         self.v, self.dropout, self.draws = vocabulary(path), dropout, draws
         self.seed = seed & (1 << 64) - 1
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(draws)]
+        self.cache: dict[str, bytes] = {}
         self.width = "<u2" if self.v.n <= 1 << 16 else "<i4"
 
     @staticmethod
     def words(text: str) -> list[str]:
         return _UNITS.findall((" " + text).replace(SPACE, _LITERAL).replace(" ", SPACE)) if text else []
 
+    def _drawn(self, units: list[list[str] | None], names: list[str]) -> list[bytes]:
+        """Pieces of every word of the texts, each place of a word with its own draw."""
+        sizes = np.array([len(us or ()) for us in units])
+        doc = np.repeat(np.arange(len(units)), sizes)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        salt = U(self.seed * 0x94D049BB133111EB & (1 << 64) - 1)
+        named = mix(_word_keys([n + "\n" for n in names]) + salt)
+        draw = mix(named[doc] + place.astype(U) * U(0x9E3779B97F4A7C15))
+        if self.draws is not None:
+            draw = mix(draw % U(self.draws) + salt)
+        words = [u for us in units if us for u in us]
+        out: list[bytes] = []
+        for a in range(0, len(words), 20_000):
+            part = words[a : a + 20_000]
+            keys = mix(_word_keys(part) + draw[a : a + len(part)])
+            out += encode_words(self.v, part, keys, self.dropout)
+        return out
+
+    def _usual(self, units: list[list[str] | None]) -> list[bytes]:
+        """Pieces of every word of the texts without dropout."""
+        new = {u for us in units if us for u in us if u not in self.cache}
+        if len(self.cache) + len(new) > CACHE:
+            self.cache.clear()
+            new = {u for us in units if us for u in us}
+        words = sorted(new)
+        for a in range(0, len(words), 20_000):
+            part = words[a : a + 20_000]
+            self.cache.update(zip(part, encode_words(self.v, part, np.zeros(len(part), U), 0.0)))
+        return [self.cache[u] for us in units if us for u in us]
+
     def encode(self, texts: list[str | None], names: list[str]) -> list[np.ndarray | None]:
-        """Piece ids; the draw of a text follows from its name."""
+        """Piece ids; the draws of a text follow from its name and the places of its words."""
         if not texts:
             return []
-        if self.dropout > 0:
-            draws = (mix(_word_keys([n + "\n" for n in names]) + U(self.seed)) % U(self.draws)).tolist()
-        else:
-            draws = [0] * len(texts)
         units = [None if t is None else self.words(t) for t in texts]
-        for d in set(draws):
-            known = self.cache[d]
-            new = {u for us, x in zip(units, draws) if x == d and us for u in us if u not in known}
-            if not new:
-                continue
-            if len(known) + len(new) > CACHE // self.draws:
-                known.clear()
-                new = {u for us, x in zip(units, draws) if x == d and us for u in us}
-            words = sorted(new)
-            for a in range(0, len(words), 20_000):
-                part = words[a : a + 20_000]
-                salt = (self.seed * 0x94D049BB133111EB + d) & (1 << 64) - 1
-                keys = mix(_word_keys(part) + U(salt))
-                known.update(zip(part, encode_words(self.v, part, keys, self.dropout)))
+        coded = self._drawn(units, names) if self.dropout > 0 else self._usual(units)
+        ends = np.cumsum([len(us or ()) for us in units]).tolist()
         return [
-            None if us is None else np.frombuffer(b"".join(map(self.cache[d].__getitem__, us)), self.width)
-            for us, d in zip(units, draws)
+            None if us is None else np.frombuffer(b"".join(coded[a:b]), self.width)
+            for us, a, b in zip(units, [0, *ends], ends)
         ]
 
 
@@ -249,18 +264,18 @@ def encode(
     model: str = MODEL,
     seed: int = 0,
     dropout: float = 0.1,
-    draws: int = 4,
+    draws: int | None = None,
     lossless: bool = False,
 ) -> DataFrame:
     """The documents with `pieces`, the piece ids of their texts as array<int>.
 
-    `draws` is the number of different dropout draws for a word; a document's draw follows from
-    the seed and its id. A null text has null pieces, an empty one an empty array; a null id
+    Each word draws by the seed, the document's id and the word's place in it, so a word has as
+    many draws as occurrences; `draws` sets a number of different ones instead. A null text has null pieces, an empty one an empty array; a null id
     counts as an empty name. A column called `pieces` is replaced, all others are kept. With
     `lossless`, a column of this name says whether the pieces decode to the text again; it is true
     for null. The model file must be at the same path on every machine.
     """
-    if not 0 <= dropout < 1 or draws < 1:
+    if not 0 <= dropout < 1 or (draws is not None and draws < 1):
         raise ValueError("dropout must be in [0, 1) and draws at least 1")
     made = ["pieces", "lossless"] if lossless else ["pieces"]
     cols = [F.col(c) for c in docs.columns if c not in made]

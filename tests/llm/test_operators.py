@@ -252,3 +252,15 @@ def test_keep_one_does_not_go_by_ids(spark):
     rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, "c"), (7, text("d")), (7, text("e")), (7, text("e")), (7, "f")]
     kept = jaccard_join.keep_one(frame(spark, rows)).collect()
     assert sorted(r.text for r in kept) == sorted({x for _, x in rows})
+
+
+def test_dropout_varies_by_document_and_place():
+    word = "unbelievableness"
+    texts, names = [f"{word} " * 200] * 3, ["1", "2", "2"]
+    encode = lambda t, n: [g.tolist() for g in pieces.Encoder(pieces.MODEL, 7, 0.3).encode(t, n)]
+    got = encode(texts, names)
+    v = pieces.vocabulary(pieces.MODEL)
+    starts = [[i for i, p in enumerate(g) if v.bytes[p][:1] == b" "] + [len(g)] for g in got]
+    forms = [{tuple(g[a:b]) for a, b in zip(s, s[1:])} for g, s in zip(got, starts)]
+    assert min(map(len, forms)) > 20 and len(forms[0] | forms[1]) > len(forms[0])
+    assert got[1] == got[2] == encode(texts[1:2], ["2"])[0] != got[0]
