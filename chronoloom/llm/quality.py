@@ -28,8 +28,12 @@ BOILERPLATE = (
     r"\bterms of (use|service)\b|\bprivacy policy\b|\b(accept|use|uses) cookies\b|\bsubscribe to our\b|"
     r"\benable javascript\b|\blorem ipsum\b"
 )
-#: Every failing line has one of these; texts without any need no look at their lines.
-SUSPECT = r"[#*$%&|<>»·•©]|!!|\?\?|\p{Lu}\P{L}*\p{Lu}"
+#: Every failing line has one of these; texts without any need no look at their lines. A line with more
+#: capitals than other letters has two with at most one letter between, or one that is its only letter.
+SUSPECT = (
+    r"[#*$%&|<>»·•©]|!!|\?\?|\p{Lu}\P{L}*+(?:\p{L}\P{L}*+)?\p{Lu}|"
+    r"(?:\A|\n)[^\p{L}\n]*+\p{Lu}[^\p{L}\n]*+(?:\n|\z)"
+)
 SUSPECT_WORDS = (
     "all rights reserved", "licensed under", "licenced under", "released under the", "copyright", "terms of",
     "privacy policy", "cookies", "subscribe to our", "enable javascript", "lorem ipsum",

@@ -254,6 +254,15 @@ def test_keep_one_does_not_go_by_ids(spark):
     assert sorted(r.text for r in kept) == sorted({x for _, x in rows})
 
 
+@pytest.mark.parametrize("line", ["A 12 34 56 78 90 11 22 33 44 55", "A b C d E f G h I", "1 2 3 4 É", "Ab C 1 2 3", "x 1 2 Y 3 Z"])
+def test_quality_capitals_alone(spark, line):
+    texts = [f"total values follow here now\n{line}\nend", f"{line}\nend", f"end\n{line}", line, f"# total | & *\n{line}\nend"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = quality.measure(df).orderBy("doc_id").collect()
+    assert [r.quality.n_bad_lines for r in got] == [1, 1, 1, 1, 2]
+    assert got[0].quality.cleaned == "total values follow here now\nend"
+
+
 def test_dropout_varies_by_document_and_place():
     word = "unbelievableness"
     texts, names = [f"{word} " * 200] * 3, ["1", "2", "2"]
