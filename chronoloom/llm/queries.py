@@ -192,6 +192,13 @@ def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(*preferences.swapped_pairs(turns))
 
 
+@query
+def op9_neighbour_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and completions of every conversation that has an answer, whatever the gaps in the ids."""
+    turns = table(spark, sf_dir, "conversations")
+    return preferences.format_pairs(*preferences.neighbour_pairs(turns))
+
+
 JACCARD_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, {WORDS}) AS w FROM documents),
 s AS (

@@ -273,3 +273,24 @@ def test_dropout_varies_by_document_and_place():
     forms = [{tuple(g[a:b]) for a, b in zip(s, s[1:])} for g, s in zip(got, starts)]
     assert min(map(len, forms)) > 20 and len(forms[0] | forms[1]) > len(forms[0])
     assert got[1] == got[2] == encode(texts[1:2], ["2"])[0] != got[0]
+
+
+@pytest.mark.parametrize("ids, kind", [([3, 4, 9, 10**12, -5], "bigint"), (["b", "aé", "zz", "", "b1"], "string"), ([8], "int")])
+def test_neighbour_pairs_lose_none_to_gaps(spark, ids, kind):
+    turns = [(i, t, r, f"{r}{i}") for i in ids for t, r in ((0, "user"), (1, "assistant"))]
+    turns += [(None, 0, "assistant", "none"), (type(ids[0])("5"), 0, "user", "no answer")]
+    df = spark.createDataFrame(turns, f"conv_id {kind}, turn int, role string, text string")
+    got = preferences.format_pairs(*preferences.neighbour_pairs(df)).filter("part = 'rejected'").collect()
+    order = sorted(ids)
+    want = {i: order[(k + 1) % len(order)] for k, i in enumerate(order) if len(order) > 1}
+    assert {r.pair_id: r.rendered for r in got} == {i: f"<|assistant|>\nassistant{j}<|end|>\n" for i, j in want.items()}
+
+
+def test_neighbour_pairs_of_many_ranges(spark):
+    df = spark.range(0, 3000, 3).selectExpr("id as conv_id", "0 as turn", "'assistant' as role", "concat('a', id) as text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rejected = preferences.neighbour_pairs(df)[1].collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.pair_id: r.text for r in rejected} == {i: f"a{(i + 3) % 3000}" for i in range(0, 3000, 3)}
