@@ -17,8 +17,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays."""
-    return jaccard_join.keep_one(docs)
+    """One document of each group of linked ones stays: sets of five-word runs, 80 percent alike."""
+    return jaccard_join.keep_one(docs, words=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,12 +41,12 @@ def passages(rows, k=20):
     return out
 
 
-def jaccard(rows, percent=90):
+def jaccard(rows, percent=90, words=3):
     """(id, set size, component) for rows with different ids."""
     sets = {}
     for i, x in rows:
         w = WORD.findall((x or "").translate(LOWER))
-        sets[i] = {tuple(w[a : a + 3]) for a in range(len(w) - 2)} or ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[a : a + words]) for a in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
     root = {i: i for i in sets}
 
     def find(i):

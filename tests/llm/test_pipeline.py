@@ -36,6 +36,18 @@ def test_stages(spark):
     assert all(r.lossless for r in rows)
 
 
+def test_near_duplicates_by_five_words(spark):
+    base = [f"w{i}" for i in range(250)]
+    near = [f"n{i}" if i in (20, 70, 120, 170, 220) else w for i, w in enumerate(base)]
+    short = [f"s{i}" for i in range(50)]
+    rows = [(1, base), (2, near), (3, short), (4, [*short[:25], "other", *short[26:]]), (5, base[:200]), (6, base[:190])]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    docs = spark.createDataFrame([(i, x, len(x)) for i, x in rows], "doc_id bigint, text string, n_chars bigint")
+    kept = sorted(r.doc_id for r in P.near_duplicates(spark, docs, SF_DIR).collect())
+    want = sorted(i for i, (_, c) in plain.jaccard(rows, percent=80, words=5).items() if c == i)
+    assert kept == want == [1, 3, 5]
+
+
 def test_queries_exist():
     from __spark_entry__ import oracle_sql, queries
 
