@@ -1,14 +1,15 @@
 """Licence notices by the Dice coefficient of word bigrams.
 
-A unit is a block of lines that follow each other, blank ones passed over. A template can reach
-the threshold t only with blocks whose number of bigrams is within [t / (2 - t), (2 - t) / t]
-times its own, and only if the block's first line has one of its bigrams; other templates are
-pruned without a comparison.
+A unit is a window of words, whatever lines they stand on. A template can reach the threshold t
+only with windows whose number of bigrams is within [t / (2 - t), (2 - t) / t] times its own. A
+window that starts or ends with a bigram foreign to the template gets better without it, so only
+those from one of its bigrams to another are compared, and only where enough of them are near.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -49,6 +50,68 @@ in compliance with the License. You may obtain a copy of the License at http://w
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
 an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
 specific language governing permissions and limitations under the License.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "GPL-2.0 header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "GPL-3.0 header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "LGPL-2.1 header": """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License
+as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "LGPL-3.0 header": """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License
+as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "AGPL-3.0 header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License
+as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
+    "MPL-2.0 header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software
+for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but
+is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+original software. 3. This notice may not be removed or altered from any source distribution.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or
+authors of this software dedicate any and all copyright interest in the software to the public domain. We make this
+dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 
 
@@ -71,32 +134,55 @@ class Templates:
                 self.by_bigram.setdefault(g, []).append(len(self.items))
             self.items.append((name, grams, n, low - 1e-9, high + 1e-9))
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(template, Dice, first line, last line), best first where blocks overlap."""
-        lines = [(i, _WORD.findall(x)) for i, x in enumerate((text or "").lower().split("\n"))]
-        lines = [(i, w) for i, w in lines if w]
+    def _windows(self, item: tuple, at: list[int], words: list[str]) -> list[tuple[float, int, int, int]]:
+        """(Dice, shared bigrams, first, last bigram) over the threshold, none overlapping, best first."""
+        _, grams, n, low, high = item
+        need = self.threshold * (n + low) / 2
         found = []
-        for at, (_, words) in enumerate(lines):
-            near = {t for g in bigrams(words) for t in self.by_bigram.get(g, ())}
-            for t in near:
-                name, grams, n, low, high = self.items[t]
-                block: list[str] = []
-                for end in range(at, len(lines)):
-                    block = block + lines[end][1]
-                    size = len(block) - 1
-                    if size > high:
-                        break
-                    if size < low:
-                        continue
-                    same = sum((Counter(bigrams(block)) & grams).values())
-                    dice = 2 * same / (size + n)
-                    if dice >= self.threshold:
-                        found.append((-dice, -size, name, lines[at][0], lines[end][0]))
-        kept: list[tuple[str, float, int, int]] = []
-        for dice, _, name, a, b in sorted(found):
-            if all(b < x or a > y for _, _, x, y in kept):
-                kept.append((name, -dice, a, b))
-        return sorted(kept, key=lambda m: m[2])
+        for i, a in enumerate(at):
+            end = bisect_right(at, a + high - 1, i)
+            if end - i < need - 1e-9:
+                continue
+            seen: Counter = Counter()
+            same = 0
+            for b in at[i:end]:
+                g = (words[b], words[b + 1])
+                seen[g] += 1
+                same += seen[g] <= grams[g]
+                size = b - a + 1
+                if size >= low and 2 * same / (size + n) >= self.threshold:
+                    found.append((-2 * same / (size + n), -size, a, b, same))
+        kept: list[tuple[float, int, int, int]] = []
+        taken = bytearray(len(words))  # words
+        for dice, _, a, b, same in sorted(found):
+            if not any(taken[a : b + 2]):
+                taken[a : b + 2] = b"\1" * (b + 2 - a)
+                kept.append((-dice, same, a, b))
+        return kept
+
+    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
+        """(template, Dice, first line, last line) in order of place."""
+        lines = [_WORD.findall(x) for x in (text or "").lower().split("\n")]
+        words = [w for x in lines for w in x]
+        near: dict[int, list[int]] = {}
+        for i, g in enumerate(zip(words, words[1:])):
+            for t in self.by_bigram.get(g, ()):
+                near.setdefault(t, []).append(i)
+        if not near:
+            return []
+        found = [
+            (-same, -dice, self.items[t][0], a, b)
+            for t, at in near.items()
+            for dice, same, a, b in self._windows(self.items[t], at, words)
+        ]
+        line = [i for i, x in enumerate(lines) for _ in x]
+        taken = bytearray(len(words))
+        kept = []
+        for _, dice, name, a, b in sorted(found):
+            if not any(taken[a : b + 2]):
+                taken[a : b + 2] = b"\1" * (b + 2 - a)
+                kept.append((a, (name, -dice, line[a], line[b + 1])))
+        return [m for _, m in sorted(kept)]
 
 
 _MATCHES = pa.list_(
@@ -120,8 +206,9 @@ def scan(
 ) -> DataFrame:
     """The documents with `licenses`: matched templates with Dice coefficient and line range.
 
-    Of overlapping blocks the one with the highest coefficient counts, then the longer one, then
-    the first template by name. Null and empty texts match nothing; templates with fewer than two
+    Of a template's overlapping windows the one with the highest coefficient counts, then the
+    longer one; of those of several templates the one with most shared bigrams, then with the
+    highest coefficient, then the first by name. Null and empty texts match nothing; templates with fewer than two
     words match nothing. A column called `licenses` is replaced, others stay.
     """
     cols = [c for c in docs.columns if c != "licenses"]

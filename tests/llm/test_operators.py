@@ -294,3 +294,18 @@ def test_neighbour_pairs_of_many_ranges(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert {r.pair_id: r.text for r in rejected} == {i: f"a{(i + 3) % 3000}" for i in range(0, 3000, 3)}
+
+
+def test_licenses_in_running_text():
+    scan = licenses.Templates(licenses.TEMPLATES, licenses.THRESHOLD).scan
+    names = lambda t: [m[0] for m in scan(t)]
+    mit, notice = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["MIT notice"]
+    assert scan("This file\nReleased\nunder the MIT License.\nend") == [("MIT notice", 1.0, 1, 2)]
+    assert names("This file is released under the MIT License. It has more text.") == ["MIT notice"]
+    assert scan("Intro\n" + "\n".join(mit.split()) + "\nend")[0][:3] == ("MIT", 1.0, 1)
+    assert names(f"before {notice} between {mit.replace('Software', 'Program', 2)} {notice} after") == ["MIT notice", "MIT", "MIT notice"]
+    for name, text in licenses.TEMPLATES.items():
+        assert names("some words before it " + " ".join(text.split()) + " and some after") == [name]
+    spoilt = licenses.TEMPLATES["Apache-2.0"].replace("compliance", "accord")
+    assert names("x " + spoilt + " y") == ["Apache-2.0"]
+    assert names("the rights of all, reserved under the software and all that") == []
