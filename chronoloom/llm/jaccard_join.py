@@ -11,7 +11,7 @@ of a set but fewer sets that meet by chance, which pays off as bands fill up.
 Files with one set are dropped unseen (`exchange`), equal sets are one from the start, and sets
 that share files are verified with their whole token sets inside their candidate component. A
 pair that is linked already through others is not compared again, so a group of near copies
-costs no list of its pairs. A component over `limit` bytes is dealt out as pairs of blocks.
+costs no list of its pairs, unless the links themselves are asked for (`set_links`, `link_counts`). A component over `limit` bytes is dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -200,10 +200,11 @@ def _sets_of(words: int):
     return fn
 
 
-def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None) -> np.ndarray:
+def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list | None = None) -> np.ndarray:
     """For each set the least index it is linked with, directly or through others.
 
-    With `side`, only sets of different sides are compared.
+    With `side`, only sets of different sides are compared. With `links`, sets that are connected
+    already are compared too, and each linked pair is put there once, as two arrays of indexes.
     """
     n = len(sets.sizes)
     root = np.arange(n)
@@ -234,7 +235,8 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None) -> np.ndarr
             near = near[(place[near] > rank) & (place[near] < reach)]
         else:
             near = by[rank + 1 : reach]
-        near = near[root[near] != root[i]]
+        if links is None:
+            near = near[root[near] != root[i]]
         if side is not None:
             near = near[side[near] != side[i]]
         if not len(near):
@@ -248,20 +250,26 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None) -> np.ndarr
             both = np.add.reduceat(flag[token[at]].astype(np.int64), starts)
             hit = part[100 * both >= p * (size + cut - both)]
             if len(hit):
+                if links is not None:
+                    links.append((np.full(len(hit), i), hit))
                 roots = np.unique(np.append(root[hit], root[i]))
                 root[np.isin(root, roots)] = roots[0]
         flag[token[a : a + size]] = False
     return root
 
 
-def _verify(scheme: Scheme):
-    """(node, other node it belongs with) for the sets of some candidate components."""
+def _verify(scheme: Scheme, every: bool):
+    """(node, other node it belongs with) for the sets of some candidate components.
+
+    With `every`, all linked pairs; else enough of them to connect what is linked.
+    """
 
     def fn(table: pa.Table) -> pa.Table:
         comp = table.column("component").to_numpy()
         node = table.column("node").to_numpy()
         packs = table.column("tokens").to_pylist()
         block = table.column("block").to_numpy()
+        blocks = table.column("blocks").to_numpy()
         pair = table.column("pair").to_numpy()
         out_a, out_b = [], []
         by = np.lexsort((node, pair, comp))
@@ -269,29 +277,32 @@ def _verify(scheme: Scheme):
         for group in np.split(by, cut[1:]):
             sizes = np.array([len(packs[i]) // 8 for i in group])
             sets = Sets(np.frombuffer(b"".join(packs[i] for i in group), U), sizes)
-            sides = block[group]
-            root = link(sets, scheme, sides if len(np.unique(sides)) > 1 else None)
-            moved = np.flatnonzero(root != np.arange(len(group)))
-            out_a.append(node[group[moved]])
-            out_b.append(node[group[root[moved]]])
+            # Sets of one block meet where it is paired with itself, and nowhere else.
+            low, high = divmod(int(pair[group[0]]), int(blocks[group[0]]))
+            links: list | None = [] if every else None
+            root = link(sets, scheme, block[group] if low != high else None, links)
+            if links is None:
+                moved = np.flatnonzero(root != np.arange(len(group)))
+                links = [(moved, root[moved])]
+            for a, b in links:
+                out_a.append(node[group[a]])
+                out_b.append(node[group[b]])
         none = [np.zeros(0, np.int64)]
         return pa.table({"u": pa.array(np.concatenate(out_a or none)), "v": pa.array(np.concatenate(out_b or none))})
 
     return fn
 
 
-def join_sets(
+def _verified(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 3,
     percent: int = 90,
     limit: int = LIMIT,
-) -> tuple[Buckets, DataFrame]:
-    """Buckets, and for each of their rows (bucket, row, id, size, component, component_id).
-
-    `component` is a number of its own for each component, whatever the ids are.
-    """
+    every: bool = False,
+) -> tuple[Buckets, DataFrame, DataFrame, int]:
+    """Buckets, their rows, what `_verify` finds among their sets, and the most blocks of a component."""
     buckets = Buckets(docs, id_col, text_col)
     base = math.log(100 / min(percent, 99))
     lengths = docs.groupBy(F.floor(F.log(F.octet_length(text_col) / 6 + 1) / F.lit(base)).alias("b")).count()
@@ -338,8 +349,19 @@ def join_sets(
             F.pmod(F.xxhash64("component"), F.lit(bundles))
         ),
     )
-    found = dealt.groupBy("bundle").applyInArrow(_verify(scheme), "u bigint, v bigint")
-    if (total.b or 0) > 1:
+    found = dealt.groupBy("bundle").applyInArrow(_verify(scheme, every), "u bigint, v bigint")
+    return buckets, docs_rows, found, total.b or 0
+
+
+def join_sets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> tuple[Buckets, DataFrame]:
+    """Buckets, and for each of their rows (bucket, row, id, size, component, component_id).
+
+    `component` is a number of its own for each component, whatever the ids are.
+    """
+    buckets, docs_rows, found, blocks = _verified(docs, id_col, text_col, **options)
+    if blocks > 1:
         links = components(found)
     else:  # each set was seen in one place only, so these are components already
         links = found.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -365,6 +387,47 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id")
 
 
+def _linked(docs: DataFrame, id_col: str, text_col: str, options: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of documents, (node, id, copies) of each different set, and all links (u, v) of sets."""
+    _, rows, found, _ = _verified(docs, id_col, text_col, every=True, **options)
+    classes = rows.filter("size > 0").groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    return rows, written(classes, "classes"), written(found, "links")
+
+
+def set_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(doc_id, copies, other_id, other_copies): every linked pair of different sets, once.
+
+    A set is named by the least id of the documents that have it, and `copies` is their number;
+    equal sets make no row. Links and options are those of `link_documents`. The rows of a group of
+    near copies, and the work for them, grow with its number of pairs of different sets.
+    """
+    _, classes, found = _linked(docs, id_col, text_col, options)
+    for node, name in (("u", "a"), ("v", "b")):
+        found = found.join(classes.select(F.col("node").alias(node), F.struct("id", "copies").alias(name)), node)
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    return found.select(
+        low["id"].alias("doc_id"), low["copies"].alias("copies"),
+        high["id"].alias("other_id"), high["copies"].alias("other_copies"),
+    )
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per document the size of its n-gram set and the number of other documents it links with.
+
+    Links are the direct ones, copies counted each; see `set_links` for their cost.
+    """
+    rows, classes, found = _linked(docs, id_col, text_col, options)
+    both = found.union(found.select("v", "u")).toDF("node", "other")
+    weights = classes.select(F.col("node").alias("other"), "copies")
+    others = both.join(weights, "other").groupBy("node").agg(F.sum("copies").alias("others"))
+    counts = classes.join(others, "node", "left").select(
+        "node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
+    n = F.when(F.col("size") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("bigint")
+    counted = rows.join(counts, "node", "left")
+    return counted.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), n.alias("n_links"))
+
+
 def _keep(table: pa.Table, rows: pa.Table) -> pa.Table:
     return table.take(pa.array(np.sort(rows.column("row").to_numpy()))).drop_columns([BUCKET])
 

@@ -219,6 +219,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of documents that every document links with directly."""
+    return jaccard_join.link_counts(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""

@@ -309,3 +309,23 @@ def test_licenses_in_running_text():
     spoilt = licenses.TEMPLATES["Apache-2.0"].replace("compliance", "accord")
     assert names("x " + spoilt + " y") == ["Apache-2.0"]
     assert names("the rights of all, reserved under the software and all that") == []
+
+
+@pytest.mark.parametrize("limit, page", [(jaccard_join.LIMIT, 1 << 20), (1_000, 2_000)])
+def test_jaccard_loses_no_link(spark, rows, limit, page, monkeypatch):
+    monkeypatch.setattr(jaccard_join.Buckets.__init__, "__defaults__", (page,))
+    chain = [f"c{i}" for i in range(200)]
+    more = [" ".join(chain[k : k + 150]) for k in (0, 2, 4, 6, 8)] + [" ".join(chain[4:154]).upper()]
+    rows = rows + [(1000 + i, x) for i, x in enumerate(more)]
+    sets = {}
+    for i, x in rows:
+        w = plain.WORD.findall((x or "").translate(plain.LOWER))
+        sets[i] = frozenset(tuple(w[a : a + 3]) for a in range(len(w) - 2)) or frozenset({tuple(w)} if w else ())
+    alike = lambda a, b: a and b and 100 * len(a & b) >= 90 * len(a | b)
+    want = sorted((i, len(s), sum(j != i and bool(alike(s, o)) for j, o in sets.items())) for i, s in sets.items())
+    df = frame(spark, rows)
+    assert found(jaccard_join.link_counts(df, limit=limit)) == want
+    names = {s: min(i for i in sets if sets[i] == s) for s in sets.values()}
+    copies = Counter(names[s] for s in sets.values())
+    pairs = [(i, copies[i], j, copies[j]) for s, i in names.items() for o, j in names.items() if i < j and alike(s, o)]
+    assert found(jaccard_join.set_links(df, limit=limit)) == sorted(pairs) and len(pairs) > 10
