@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.llm import (
+    conversation_repair,
     debruijn,
     decontaminate,
     jaccard_join,
@@ -225,6 +226,12 @@ def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""

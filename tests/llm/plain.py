@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -82,3 +83,61 @@ def contamination(rows, items, size=13):
         names = ",".join(sorted(found))
         out.append((i, len(w), len(hit), len(found), sha(names), bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+def damaged(turns):
+    """{conv: rows (turn, role, text)} from (conv, turn, role, text), by the contract's hash."""
+    out = {}
+    for conv, turn, role, text in turns:
+        rows = out.setdefault(conv, [])
+        name = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        rows += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, hash) by trying all edits."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    seen, faults = set(), []
+    for _, role, text in rows:
+        said = text.strip(" \t\n\v\f\r")
+        fault = "" if said and said[-1] in ".!?" else "t"
+        faults.append("b" if not said else "d" if (role, text) in seen else fault)
+        seen.add((role, text))
+    fits = lambda s: re.fullmatch("s?(ua)*u?", s) is not None
+    # Of the roles so far only the last matters; no more than two turns are added in one place.
+
+    def put(table, key, value):
+        if key not in table or value[:2] < table[key][:2]:
+            table[key] = value
+
+    def adding(table):
+        for _ in range(3):
+            for s, (c, a, r) in list(table.items()):
+                for role in ("user", "assistant"):
+                    if fits(("s" if s == "s" else {"": "", "u": "u", "a": "ua"}[s]) + role[0]):
+                        put(table, role[0], (c + 5, a + "I", [*r, f"{role}:"]))
+        return table
+
+    state = adding({"": (0, "", [])})
+    for (_, role, text), f in zip(rows, faults):
+        then = {}
+        for s, (c, a, r) in state.items():
+            put(then, s, (c + 2, a + "D", r))
+            if f in "bd" and f:
+                continue
+            for new, cost, edit in ((role, 0, "K"), ("user", 1, "R"), ("assistant", 1, "R")):
+                before = "s" if s == "s" else {"": "", "u": "u", "a": "ua"}[s]
+                if new[:1] and fits(before + new[0]):
+                    put(then, new[0], (c + cost + (5 if f else 0), a + edit, [*r, f"{new}:{text}"]))
+        state = adding(then)
+    cost, audit, lines = min((state[s] for s in ("", "a") if s in state), key=lambda x: x[:2])
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    count = [faults.count(f) for f in "bdt"]
+    return (gaps, *count, illegal, cost, audit, sha("\n".join(lines)))
