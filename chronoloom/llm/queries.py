@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.llm import (
+    byte_bpe,
     conversation_repair,
     debruijn,
     decontaminate,
@@ -226,6 +227,12 @@ def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by byte-level BPE and decoded again."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
