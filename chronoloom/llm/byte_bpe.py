@@ -17,6 +17,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,12 +43,34 @@ _NONE = np.iinfo(np.int64).max
 _SPLIT = regex.compile(PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _byte_of() -> dict[str, int]:
+    """Byte that each character of a byte-level vocabulary stands for."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in set(printed)]
+    return {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def _read_ids(path: str) -> dict[bytes, int]:
+    """Ids of a rank file, or of a byte-level JSON vocabulary whose ids follow its merges."""
+    if not path.endswith(".json"):
+        with open(path, "rb") as f:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    byte, vocab = _byte_of(), model["vocab"]
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    ids = [vocab[m] for m in merges]
+    if ids != sorted(ids):
+        raise ValueError(f"the ids of {path} do not follow its merges")
+    known = {c for c in byte} | set(merges)
+    return {bytes(byte[c] for c in token): i for token, i in vocab.items() if token in known}
+
+
 class Ranks:
     """Byte strings with their ids, which are their merge ranks too."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ids = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.ids = _read_ids(path)
         self.n = max(self.ids.values()) + 1
         self.bytes = [b""] * self.n
         for token, i in self.ids.items():

@@ -17,6 +17,7 @@ from chronoloom.llm import (
     preferences,
     quality,
     suffix_dedup,
+    token_align,
     toxicity,
 )
 
@@ -227,6 +228,12 @@ def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return token_align.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by byte-level BPE and decoded again."""
