@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -50,7 +51,7 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-def _read_ids(path: str) -> dict[bytes, int]:
+def read_ids(path: str) -> dict[bytes, int]:
     """Ids of a rank file, or of a byte-level JSON vocabulary whose ids follow its merges."""
     if not path.endswith(".json"):
         with open(path, "rb") as f:
@@ -70,7 +71,7 @@ class Ranks:
     """Byte strings with their ids, which are their merge ranks too."""
 
     def __init__(self, path: str):
-        self.ids = _read_ids(path)
+        self.ids = read_ids(path)
         self.n = max(self.ids.values()) + 1
         self.bytes = [b""] * self.n
         for token, i in self.ids.items():
@@ -215,7 +216,7 @@ def decode_ids(v: Ranks, ids: np.ndarray) -> bytes:
 
 def parts(batch: pa.RecordBatch, column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of bounded text length; a longer text comes alone."""
-    sizes = [len(x) for x in batch.column(column).cast(pa.large_binary()).fill_null(b"").to_pylist()]
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     a = 0
     while a < len(sizes):
         b, size = a, 0

@@ -5,7 +5,7 @@ list drives an intersection: from a position that is known to be low enough, eac
 gallops through the longer list in doubling steps and then halves the last one. What is in both
 closes a group, and the difference between the ranks of two neighbouring ends is the range of
 tokens that overlap. The ends of all texts of a batch are looked up together, in numpy: every
-64th end first, which gives the ends in between the place to start from.
+4th end first, which gives the ends in between the place to start from.
 
 Ids are written once. One pass counts for each pair of ids the documents that hold it linked,
 another looks the counts up. They are broadcast in slices of at most `limit` pairs, a pass each.
@@ -13,6 +13,7 @@ another looks the counts up. They are broadcast in slices of at most `limit` pai
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,7 @@ from chronoloom.llm.text import give_back
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-STRIDE = 64
+STRIDE = 4
 #: Pairs in one broadcast: 12 bytes each, so 24 MB in a worker.
 LIMIT = 2_000_000
 #: Pairs that a task gathers before it hands its counts on.
@@ -57,6 +59,28 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+class ByteTokens:
+    """A byte-level vocabulary whose ids follow its merges, and the bytes of its tokens."""
+
+    def __init__(self, path: str):
+        ids = byte_bpe.read_ids(path)
+        self.n = max(ids.values()) + 1
+        self.bytes = [b""] * self.n
+        for token, i in ids.items():
+            self.bytes[i] = token
+        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
+        self.model = tiktoken.Encoding(path, pat_str=byte_bpe.PATTERN, mergeable_ranks=ids, special_tokens={})
+
+
+@functools.lru_cache(maxsize=2)
+def byte_tokens(path: str) -> ByteTokens:
+    return ByteTokens(path)
+
+
+def packed(ids: list[int], n: int) -> bytes:
+    return array.array("H" if n <= 1 << 16 else "I", ids).tobytes()
+
+
 # ---- alignment ----
 
 
@@ -185,19 +209,19 @@ def _tokenise(first: str, second: str):
     """Ids of each text (column 0) as bytes, empty if the tokens do not spell it, beside its row (column 1)."""
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = byte_bpe.encoder(first), pieces(second)
+        one, two = byte_tokens(first), pieces(second)
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in byte_bpe.parts(batch, 0, PART):
                 texts = part.column(0).to_pylist()
-                a = one.encode([" " + t if t else None for t in texts])
-                b = two.model.encode([t or "" for t in texts], num_threads=1)
                 packed_a, packed_b = [], []
-                for t, x, y in zip(texts, a, b):
-                    raw = b" " + t.encode() if t else b""
-                    fits = raw == b"".join(map(two.bytes.__getitem__, y)) == byte_bpe.decode_ids(one.v, x)
-                    packed_a.append(x.astype("<i4").tobytes() if fits else b"")
-                    packed_b.append(np.array(y, "<i4").tobytes() if fits else b"")
+                for t, y in zip(texts, two.model.encode([t or "" for t in texts], num_threads=1)):
+                    raw = " " + t if t else ""
+                    x = one.model.encode_ordinary(raw)
+                    same = map(one.bytes.__getitem__, x), map(two.bytes.__getitem__, y)
+                    fits = all(b"".join(tokens) == raw.encode() for tokens in same)
+                    packed_a.append(packed(x, one.n) if fits else b"")
+                    packed_b.append(packed(y, two.n) if fits else b"")
                 keys = pa.array(np.arange(key, key + len(texts)), pa.int64())
                 key += len(texts)
                 cols = [keys, pa.array(packed_a, pa.binary()), pa.array(packed_b, pa.binary()), part.column(1)]
@@ -216,11 +240,12 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, first: str, second: s
 
 def _batches(batches: Iterator[pa.RecordBatch], first: str, second: str):
     """(rows, Batch) of bounded size, longer texts alone."""
-    sizes = byte_bpe.ranks(first).sizes, pieces(second).sizes
+    sides = byte_tokens(first), pieces(second)
+    widths = [np.uint16 if v.n <= 1 << 16 else np.uint32 for v in sides]
     for batch in batches:
-        for part in byte_bpe.parts(batch, 1, 4 * PART // 3):
-            a, b = ([np.frombuffer(x, "<i4") for x in part.column(i).to_pylist()] for i in (1, 2))
-            yield part, Batch(a, b, *sizes)
+        for part in byte_bpe.parts(batch, 1, PART // 2):
+            a, b = ([np.frombuffer(x, w) for x in part.column(i).to_pylist()] for i, w in zip((1, 2), widths))
+            yield part, Batch(a, b, *(v.sizes for v in sides))
 
 
 def _count(first: str, second: str):
@@ -265,17 +290,23 @@ def _look_up(first: str, second: str, slice_, whole: bool):
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = (np.frombuffer(x, np.int64) for x in slice_.value)
-        n_a, n_b = byte_bpe.ranks(first).n, pieces(second).n
+        n_a, n_b = byte_tokens(first).n, pieces(second).n
         for part, x in _batches(batches, first, second):
             docs = len(x.order)
-            pair, at, times = np.unique((x.link_doc << 34) | x.pair, return_index=True, return_counts=True)
-            doc, pair = x.link_doc[at], pair & ((1 << 34) - 1)
-            found = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
-            hit = keys[found] == pair if len(keys) else np.zeros(len(pair), bool)
-            value = np.where(hit, n[found] if len(keys) else 0, 0)
+            bits = docs.bit_length()
+            if bits > 30:
+                raise ValueError("too many texts in a batch")
+            links = np.sort((x.pair << bits) | x.link_doc)  # by pair, so that each is looked up once
+            doc, pair = links & ((1 << bits) - 1), links >> bits
+            fresh = np.flatnonzero(np.diff(pair, prepend=-1))
+            value = np.zeros(len(fresh), np.int64)
+            if len(keys):
+                found = np.minimum(np.searchsorted(keys, pair[fresh]), len(keys) - 1)
+                value = np.where(keys[found] == pair[fresh], n[found], 0)
+            value = np.repeat(value, np.diff(np.append(fresh, len(pair))))
             sums = np.zeros((2, docs), np.int64)
-            np.add.at(sums[0], doc, times * (value & 1))
-            np.add.at(sums[1], doc, times * (value >> 1))
+            np.add.at(sums[0], doc, value & 1)
+            np.add.at(sums[1], doc, value >> 1)
             cols = [sums[0], sums[1]]
             if whole:
                 cols += [x.n_a, x.n_b, x.groups(), np.bincount(x.link_doc, minlength=docs)]
