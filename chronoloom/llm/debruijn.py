@@ -13,6 +13,9 @@ many times over, so it is built compacted:
 * Copied paths that follow each other, with sources that follow each other as well, compact into
   one long span, whose source coordinates cover the span without a gap.
 
+Paths and edges are equal if two 64-bit hashes of their words are, a polynomial and a sum of mixed
+values, over two different hashes of each word.
+
 Hot passages: of equal paths in a bucket only the first is joined, the others are copies of it;
 likewise an edge is sent once by a bucket. So a passage that a third of all documents share is
 one row for each bucket of documents, and a partial aggregation reduces these to the first.
@@ -36,7 +39,7 @@ from chronoloom.llm.exchange import (
     text_bytes,
     written,
 )
-from chronoloom.llm.text import Texts, U, covered, mix, runs_hash, window_min
+from chronoloom.llm.text import Texts, U, covered, mix, runs_digest, runs_hash, window_min
 
 KEYS = ["node", "path", "path2"]
 
@@ -81,7 +84,7 @@ def _occurrences(k: int, anchor: int, answering: int):
         t, stop = p.texts, start + width + k - 1
         row = np.searchsorted(t.first, start, "right") - 1
         node, one = p.node[keep], runs_hash(p.h, start, stop)
-        two = runs_hash(t.word_hashes(1), start, stop, 1)
+        two = runs_digest(t.word_hashes(1), start, stop)
         by = np.lexsort((start, two, one, node))
         again = np.zeros(len(by), bool)
         for x in (node, one, two):
@@ -122,7 +125,7 @@ def _opened(k: int, targets: int):
         first = np.repeat(t.first[row] + start, width)
         at = first + np.arange(len(first)) - np.repeat(np.cumsum(width) - width, width)
         at = np.unique(at)
-        one, two = (runs_hash(t.word_hashes(i), at, at + k, i) for i in (0, 1))
+        one, two = runs_hash(t.word_hashes(), at, at + k), runs_digest(t.word_hashes(1), at, at + k)
         by = np.lexsort((at, two, one))
         again = np.zeros(len(at), bool)
         again[by[1:]] = (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])

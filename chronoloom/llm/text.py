@@ -99,7 +99,16 @@ class Texts:
         return self
 
     def word_hashes(self, which: int = 0) -> np.ndarray:
-        return spans_hash(self.buf.astype(U), self.starts, self.ends, _BASES[which])
+        """Sum of well mixed (byte, place) values of each word: a polynomial modulo 2**64 would not
+        tell some words of a thousand letters apart, whatever its base."""
+        if not len(self.starts):
+            return np.zeros(0, U)
+        place = np.arange(len(self.buf))
+        place -= np.repeat(np.concatenate(([0], self.starts)), np.diff(np.concatenate(([0], self.starts, [len(place)]))))
+        spread = mix((self.buf.astype(U) + U(1)) * U(_BASES[which]) + place.astype(U) * U(_WORD_BASES[which]))
+        edges = np.stack([self.starts, self.ends], axis=1).ravel()
+        sums = np.add.reduceat(spread, edges)[::2]
+        return mix(sums + (self.ends - self.starts).astype(U) * U(0xFF51AFD7ED558CCD))
 
     def word_doc(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), np.diff(self.first))
@@ -119,6 +128,16 @@ def runs_hash(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int =
     return spans_hash(h, starts, ends, _WORD_BASES[which])
 
 
+def runs_digest(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A second hash of each run of words, unlike `runs_hash`: a sum of mixed (word, place) values."""
+    out = np.zeros(len(starts), U)
+    size = ends - starts
+    for j in range(int(size.max(initial=0))):
+        live = np.flatnonzero(size > j)
+        out[live] += mix(h[starts[live] + j] + U(j * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    return mix(out + size.astype(U))
+
+
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
     """Least value of each w consecutive ones."""
     have = 1

@@ -329,3 +329,20 @@ def test_jaccard_loses_no_link(spark, rows, limit, page, monkeypatch):
     copies = Counter(names[s] for s in sets.values())
     pairs = [(i, copies[i], j, copies[j]) for s, i in names.items() for o, j in names.items() if i < j and alike(s, o)]
     assert found(jaccard_join.set_links(df, limit=limit)) == sorted(pairs) and len(pairs) > 10
+
+
+def thue_morse(a, b, n):
+    return [(a, b)[i.bit_count() % 2] for i in range(n)]
+
+
+def test_words_that_polynomials_do_not_tell_apart(spark):
+    """No polynomial modulo 2**64 over bytes, or over the hashes of words, tells these apart."""
+    x, y = ("".join(thue_morse(*p, 1024)) for p in ("ab", "ba"))
+    words = [f"w{i}" for i in range(19)]
+    long = [thue_morse(*p, 1024) for p in (("left", "right"), ("right", "left"))]
+    rows = [(0, " ".join([*words, x])), (1, " ".join([*words, y])), (2, x), (3, y)]
+    rows += [(4 + i, " ".join(["start", *w, "end"])) for i, w in enumerate(long)]
+    df = frame(spark, rows)
+    want = [(i, n, r, plain.sha(" ".join(k))) for i, n, r, k in plain.passages(rows)]
+    assert found(debruijn.digest(debruijn.dedup_passages(df))) == want and want[1][2] == 0
+    assert found(jaccard_join.link_documents(df)) == sorted((i, *g) for i, g in plain.jaccard(rows).items())

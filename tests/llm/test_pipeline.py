@@ -15,7 +15,7 @@ def test_stages(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     marks = {r.doc_id: r.quality for r in quality.measure(docs).collect()}
     want = {i: q.cleaned for i, q in marks.items() if q.kept}
-    groups = plain.jaccard(sorted(want.items()))
+    groups = plain.jaccard(sorted(want.items()), percent=80, words=5)
     chosen = {i: t for i, t in want.items() if groups[i][0] == 0 or groups[i][1] == i}
     cut = {}
     for i, n, removed, kept in plain.passages(sorted(chosen.items())):
