@@ -7,13 +7,14 @@ probability `dropout` it is skipped for good. So each occurrence of a word has i
 segmentation, the same on every machine and after every lost executor, and with dropout 0 the
 usual one.
 
-All words of a batch go through their agendas in step, one merge a word and round, in numpy.
-Without dropout, words met before come from a bounded cache.
+All words of a batch go through their agendas in step, one merge a word and round, in numpy; very
+long words have an agenda of their own. Without dropout, words met before come from a bounded cache.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 
 import numpy as np
@@ -30,6 +31,8 @@ SPACE = "▁"
 _LITERAL = "\ud800"
 _UNITS = re.compile("▁*[^▁\n]+|▁+|\n")
 CACHE = 200_000
+#: Words of more characters have an agenda of their own.
+LONG = 100
 _NONE = np.iinfo(np.int64).max
 
 
@@ -59,6 +62,8 @@ class Vocabulary:
         rank = np.zeros(n, np.int64)
         rank[order] = np.arange(len(order))
         self.char = {name: i for name, i in normal.items() if len(name) == 1}
+        self.of_code = np.full(0x110000, -1, np.int32)
+        self.of_code[[ord(c) for c in self.char]] = list(self.char.values())
         rows = [
             (normal[name[:k]], normal[name[k:]], i)
             for name, i in normal.items()
@@ -70,13 +75,38 @@ class Vocabulary:
         self.pair, self.whole = left[by] * n + right[by], whole[by]
         self.rank = rank
         self.n = n
+        # One pair by slot of its hash; slots of several are looked up in the sorted table.
+        slot = _slot(self.pair)
+        self.slots = np.zeros(1 << 20, np.int32)
+        self.slots[slot] = np.arange(len(slot))
+        self.crowded = np.bincount(slot, minlength=1 << 20) > 1
+
+    def char_ids(self, chars: str) -> np.ndarray:
+        """Piece of each character, or -1."""
+        return self.of_code[np.frombuffer(chars.encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int64)
+
+    @functools.cached_property
+    def pairs(self) -> dict[int, int]:
+        return dict(zip(self.pair.tolist(), self.whole.tolist()))
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece that two pieces merge into, or -1; ids of characters outside are negative."""
         key = left * self.n + right
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        ok = (self.pair[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(ok, self.whole[at], -1)
+        slot = _slot(key)
+        at = self.slots[slot]
+        hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
+        out = np.where(hit, self.whole[at], -1)
+        more = np.flatnonzero(~hit & self.crowded[slot])
+        if len(more):
+            key = key[more]
+            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+            ok = (self.pair[at] == key) & (left[more] >= 0) & (right[more] >= 0)
+            out[more] = np.where(ok, self.whole[at], -1)
+        return out
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key.astype(U) * U(0x9E3779B97F4A7C15) >> U(64 - 20)).astype(np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -95,13 +125,72 @@ def _word_keys(words: list[str]) -> np.ndarray:
     return mix(np.add.reduceat(spread, starts) + sizes.astype(U))
 
 
+_PLACE, _LEFT = 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
+_MASK = (1 << 64) - 1
+
+
+def skipped(keys: np.ndarray, codes: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether the candidates with these codes are skipped in the words with these keys."""
+    return mix(keys + codes).astype(np.float64) < np.float64(dropout) * 2.0**64
+
+
+def encode_long(v: Vocabulary, word: str, key: int, dropout: float) -> bytes:
+    """Piece ids of one word of any length, by an agenda of candidates; as `encode_words` has them."""
+    n, limit = len(word), np.float64(dropout) * 2.0**64
+    ids = v.char_ids(word).tolist()
+    end, before = list(range(1, n + 1)), list(range(-1, n))
+    agenda: list[tuple[int, int, int, int]] = []
+
+    def judge(a: int) -> None:
+        b = end[a]
+        if b >= n:
+            return
+        new = v.pairs.get(ids[a] * v.n + ids[b], -1) if ids[a] >= 0 and ids[b] >= 0 else -1
+        if new < 0:
+            return
+        if dropout > 0:
+            code = a * _PLACE + (b - a) * _LEFT + end[b] - b & _MASK
+            if mix(np.array([key + code & _MASK], U)).astype(np.float64)[0] < limit:
+                return
+        heapq.heappush(agenda, (int(v.rank[new]), a, end[b], new))
+
+    if dropout > 0 and n > 1:  # the first candidates together, as they are the most
+        left = np.array(ids[:-1], np.int64)
+        new = v.merged(left, np.array(ids[1:], np.int64))
+        codes = np.arange(n - 1).astype(U) * U(_PLACE) + U(_LEFT + 1 & _MASK)
+        ok = np.flatnonzero((new >= 0) & ~skipped(np.full(n - 1, key, U), codes, dropout))
+        agenda = [(int(v.rank[new[a]]), a, a + 2, int(new[a])) for a in ok.tolist()]
+        heapq.heapify(agenda)
+    else:
+        for a in range(n - 1):
+            judge(a)
+    while agenda:
+        _, a, stop, new = heapq.heappop(agenda)
+        b = end[a]
+        if b == 0 or b >= n or end[b] != stop:
+            continue
+        ids[a], end[a], end[b] = new, stop, 0
+        if stop < n:
+            before[stop] = a
+        judge(a)
+        if before[a] >= 0:
+            judge(before[a])
+    out, a = [], 0
+    while a < n:
+        if ids[a] >= 0:
+            out.append(ids[a])
+        else:
+            out += v.byte[list(word[a].replace(_LITERAL, SPACE).encode())].tolist()
+        a = end[a]
+    return np.array(out, "<u2" if v.n <= 1 << 16 else "<i4").tobytes()
+
+
 def encode_words(v: Vocabulary, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
     """Piece ids of each word as little-endian 16- or 32-bit numbers; words must not be empty."""
     sizes = np.array([len(w) for w in words])
     chars = "".join(words)
-    ids = np.array([v.char.get(c, -1) for c in chars], np.int64)
+    ids = v.char_ids(chars)
     n = len(ids)
-    limit = np.float64(dropout) * 2.0**64
     seat = np.arange(n)
     word = np.repeat(np.arange(len(words)), sizes)
     place = seat - np.repeat(np.cumsum(sizes) - sizes, sizes)  # first character of a symbol
@@ -111,9 +200,8 @@ def encode_words(v: Vocabulary, words: list[str], keys: np.ndarray, dropout: flo
         """Merged piece and priority of neighbouring symbols, `_NONE` if none or skipped."""
         new = v.merged(ids[left], ids[right])
         if dropout > 0:
-            h = keys[word[left]] + place[left].astype(U) * U(0xC2B2AE3D27D4EB4F)
-            h = mix(h + size[left].astype(U) * U(0xA0761D6478BD642F) + size[right].astype(U))
-            new = np.where(h.astype(np.float64) < limit, -1, new)
+            codes = place[left].astype(U) * U(_PLACE) + size[left].astype(U) * U(_LEFT) + size[right].astype(U)
+            new = np.where(skipped(keys[word[left]], codes, dropout), -1, new)
         return new, np.where(new >= 0, v.rank[new] * (n + 1) + left, _NONE)
 
     into, priority = np.full(n, -1, np.int64), np.full(n, _NONE, np.int64)
@@ -154,8 +242,9 @@ def encode_words(v: Vocabulary, words: list[str], keys: np.ndarray, dropout: flo
     stay = np.flatnonzero(~gone)
     out, counts = ids[stay], np.ones(len(stay), np.int64)
     if (out < 0).any():  # characters outside the vocabulary, as their bytes
-        texts = [chars[i].replace(_LITERAL, SPACE).encode() if p < 0 else b"" for i, p in zip(stay.tolist(), out.tolist())]
-        counts = np.array([max(1, len(t)) for t in texts])
+        outside = np.flatnonzero(out < 0)
+        texts = [chars[i].replace(_LITERAL, SPACE).encode() for i in stay[outside].tolist()]
+        counts[outside] = [len(t) for t in texts]
         values = np.repeat(out, counts)
         values[values < 0] = v.byte[np.frombuffer(b"".join(texts), np.uint8)]
         out = values
@@ -193,8 +282,22 @@ class Encoder:
         out: list[bytes] = []
         for a in range(0, len(words), 20_000):
             part = words[a : a + 20_000]
-            keys = mix(_word_keys(part) + draw[a : a + len(part)])
-            out += encode_words(self.v, part, keys, self.dropout)
+            out += self._part(part, mix(_word_keys(part) + draw[a : a + len(part)]))
+        return out
+
+    def _part(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Pieces of occurrences of words with their keys."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        if sizes.max(initial=0) <= LONG:
+            return encode_words(self.v, words, keys, self.dropout)
+        out: list[bytes] = [b""] * len(words)
+        short = np.flatnonzero(sizes <= LONG)
+        if len(short):
+            coded = encode_words(self.v, [words[i] for i in short.tolist()], keys[short], self.dropout)
+            for i, ids in zip(short.tolist(), coded):
+                out[i] = ids
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            out[i] = encode_long(self.v, words[i], int(keys[i]), self.dropout)
         return out
 
     def _usual(self, units: list[list[str] | None]) -> list[bytes]:
@@ -206,7 +309,10 @@ class Encoder:
         words = sorted(new)
         for a in range(0, len(words), 20_000):
             part = words[a : a + 20_000]
-            self.cache.update(zip(part, encode_words(self.v, part, np.zeros(len(part), U), 0.0)))
+            short = [w for w in part if len(w) <= LONG]
+            if short:
+                self.cache.update(zip(short, encode_words(self.v, short, np.zeros(len(short), U), 0.0)))
+            self.cache.update((w, encode_long(self.v, w, 0, 0.0)) for w in part if len(w) > LONG)
         return [self.cache[u] for us in units if us for u in us]
 
     def encode(self, texts: list[str | None], names: list[str]) -> list[np.ndarray | None]:
