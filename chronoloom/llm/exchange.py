@@ -71,14 +71,14 @@ def target_of(keys: np.ndarray, targets: int) -> np.ndarray:
     return (((keys >> U(32)) * U(targets)) >> U(32)).astype(np.int64)
 
 
-def _ask(keys_of: Callable, targets: int) -> Callable:
+def _ask(keys_of: Callable, targets: int, count_type: str) -> Callable:
     def ask(table: pa.Table) -> pa.Table:
         bucket = table.column(BUCKET)[0].as_py()
         keys, counts = np.unique(keys_of(ordered(table)), return_counts=True)
         cut = np.searchsorted(target_of(keys, targets), np.arange(targets + 1))
         have = np.flatnonzero(np.diff(cut))
         give_back()
-        counts = counts.astype(np.int64)
+        counts = np.minimum(counts, np.iinfo(count_type).max).astype(count_type)
         return pa.table(
             {
                 "target": pa.array(have, pa.int32()),
@@ -91,7 +91,7 @@ def _ask(keys_of: Callable, targets: int) -> Callable:
     return ask
 
 
-def _answer(hot: int) -> Callable:
+def _answer(hot: int, count_type: str) -> Callable:
     def answer(table: pa.Table) -> pa.Table:
         buckets = table.column(BUCKET).to_numpy()
         order = np.argsort(buckets, kind="stable")
@@ -99,10 +99,10 @@ def _answer(hot: int) -> Callable:
         sizes = np.array([len(packs[i]) // 8 for i in order])
         keys = np.frombuffer(b"".join(packs[i] for i in order), U)
         packs = table.column("counts").to_pylist()
-        counts = np.frombuffer(b"".join(packs[i] for i in order), np.int64)
+        counts = np.frombuffer(b"".join(packs[i] for i in order), count_type)
         by = np.argsort(keys, kind="stable")  # equal keys stay in the order of their buckets
         fresh = np.concatenate(([True], keys[by][1:] != keys[by][:-1]))
-        totals = np.add.reduceat(counts[by], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        totals = np.add.reduceat(counts[by], np.flatnonzero(fresh), dtype=np.int64)[np.cumsum(fresh) - 1]
         planes = np.zeros((3, len(keys)), bool)
         planes[:, by] = totals > 1, fresh, totals > hot
         ends = np.cumsum(sizes)
@@ -128,12 +128,14 @@ def ask_repeated(
     `bytes_a_key` estimates how much text has one key; it only sets the number of partitions.
     """
     targets = max(1, math.ceil(buckets.total / bytes_a_key / 400_000))
+    # Unless very frequent keys are asked for, it only matters whether a count is over one.
+    count_type = "u1" if hot >= 1 << 62 else "<u4"
     asked = (
         buckets.thin()
         .groupBy(BUCKET)
-        .applyInArrow(_ask(keys_of, targets), f"target int, {BUCKET} int, keys binary, counts binary")
+        .applyInArrow(_ask(keys_of, targets, count_type), f"target int, {BUCKET} int, keys binary, counts binary")
     )
-    return asked.groupBy("target").applyInArrow(_answer(hot), _ANSWER), targets
+    return asked.groupBy("target").applyInArrow(_answer(hot, count_type), _ANSWER), targets
 
 
 def read_answers(keys: np.ndarray, answers: pa.Table, targets: int) -> np.ndarray:

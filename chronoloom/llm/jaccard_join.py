@@ -2,8 +2,8 @@
 
 Sets whose sizes fall into one band, or into neighbouring ones, share a scheme: hashed tokens
 are dealt into m segments. Linked sets differ in at most H tokens, so if the segments' allowances
-a_i (0: the subset must be equal, 1: one token may be missing) satisfy sum(a_i + 1) > H, some
-segment of the two agrees within its allowance. Each set is filed under its subset in every
+a_i (0: the subset must be equal, 1: one token may be missing) satisfy sum(a_i + 1) > H + 4, three
+segments of the two at least agree within their allowances. Each set is filed under its subset in every
 segment, and where one token may be missing also under each one-deletion neighbour. A cost model
 allots the allowances by band: more allowances mean fewer but larger segments, so more filings
 of a set but fewer sets that meet by chance, which pays off as bands fill up.
@@ -25,9 +25,13 @@ from pyspark.sql import functions as F
 
 from chronoloom.llm.components import components
 from chronoloom.llm.exchange import BUCKET, Buckets, ask_repeated, bucket_map, read_answers, text_bytes, written
-from chronoloom.llm.text import Texts, U, mix, ngrams, runs_hash
+from chronoloom.llm.text import Texts, U, give_back, mix, ngrams, runs_hash
 
-LIMIT = 32 << 20
+LIMIT = 8 << 20
+#: Segments in which linked sets agree at least.
+AGREE = 3
+#: Sets that a file may have for its pairs to be written out: own ones if its subset has one token or none, else all.
+CROWD, SMALL = 256, 8
 DOC, FILE = 0, 1
 _C = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
@@ -60,8 +64,10 @@ class Scheme:
         h, n = self.distance(band), self.lows[band]
         sets = census.get(band, 0) + census.get(band + 1, 0)
         best = None
-        for x in sorted({round((h + 1) // 2 * f / 16) for f in range(17)}):
-            m = h + 1 - x
+        for x in sorted({round((h + 2 * AGREE - 1) // 2 * f / 16) for f in range(17)}):
+            # A segment counts for 2 at most, so AGREE of them agree; without distance sets are equal.
+            m = h + 2 * AGREE - 1 - x if h else 1
+            x = min(x, m) if h else 0
             per = n / m
             alike = math.exp(-min(700, 2 * per))  # that two unlike sets leave a segment empty
             cost = m + x * per + sets * alike * ((m - x) + x * (1 + 2 * per))
@@ -100,10 +106,14 @@ class Sets:
         at = np.repeat(self.offs[which] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
         return Sets(self.tokens[at + np.arange(len(at))], sizes)
 
-    def files(self, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-        """(set, key) for every file a set belongs to; empty sets have none."""
+    def files(self, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(set, key, mark) for every file a set belongs to; empty sets have none.
+
+        A mark holds the band and segment, whether the file's subset has one token at most, and
+        whether it is the set's own one, not a neighbour.
+        """
         band = scheme.band(self.sizes)
-        owners, keys = [], []
+        owners, keys, marks = [], [], []
         for lower in (0, 1):
             use = np.flatnonzero((self.sizes > 0) & (band >= lower))
             if not len(use):
@@ -123,14 +133,17 @@ class Sets:
             salt = b[seg_doc].astype(U) * _C[1] + seg.astype(U) * _C[2]
             owners.append(use[seg_doc])
             keys.append(mix(mix(subset) + salt))
+            place = (b[seg_doc] << 24) + seg
+            marks.append((place << 2) | ((count < 2) << 1) | 1)
             loose = np.flatnonzero(part < x[doc])
             if len(loose):
                 at = base[doc[loose]] + part[loose]
                 owners.append(use[doc[loose]])
                 keys.append(mix(mix(subset[at] - value[loose]) + salt[at]))
+                marks.append((place[at] << 2) | ((count[at] < 3) << 1))
         if not owners:
-            return np.zeros(0, np.int64), np.zeros(0, U)
-        return np.concatenate(owners), np.concatenate(keys)
+            return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64)
+        return np.concatenate(owners), np.concatenate(keys), np.concatenate(marks)
 
 
 def _read(table: pa.Table, words: int) -> tuple[Sets, np.ndarray, np.ndarray]:
@@ -144,7 +157,7 @@ def _read(table: pa.Table, words: int) -> tuple[Sets, np.ndarray, np.ndarray]:
 def _keys(words: int, scheme: Scheme):
     def fn(table: pa.Table) -> np.ndarray:
         sets, names, first = _read(table, words)
-        _, keys = sets.pick(first).files(scheme)
+        keys = sets.pick(first).files(scheme)[1]
         # Twice, so that a set counts as repeated where its documents are.
         return np.concatenate((keys, mix(names[sets.sizes > 0])))
 
@@ -156,14 +169,16 @@ def _filed(words: int, scheme: Scheme, answering: int):
 
     def fn(table: pa.Table, answers: pa.Table) -> pa.Table:
         sets, names, first = _read(table, words)
-        owner, keys = sets.pick(first).files(scheme)
+        owner, keys, marks = sets.pick(first).files(scheme)
         flags = read_answers(np.concatenate((keys, mix(names[first]))), answers, answering)
         shared, mine = flags[0][: len(keys)], flags[1][len(keys) :]
         use = shared & mine[owner]
-        pairs = np.unique(np.stack([names[first[owner[use]]], keys[use]]), axis=1)
+        nodes, keys, marks = names[first[owner[use]]], keys[use], marks[use]
+        only = _unique_pairs(nodes, keys)
+        nodes, keys, marks = nodes[only], keys[only], marks[only]
         is_first = np.zeros(len(names), bool)
         is_first[first[mine]] = True
-        n, f, bucket = len(names), pairs.shape[1], table.column(BUCKET)[0].as_py()
+        n, f, bucket = len(names), len(nodes), table.column(BUCKET)[0].as_py()
         as_long = lambda x: x.astype(U).view(np.int64)
         no_id = pa.nulls(f, table.column("id").type)
         return pa.table(
@@ -172,9 +187,9 @@ def _filed(words: int, scheme: Scheme, answering: int):
                 "id": pa.chunked_array([*table.column("id").chunks, no_id]),
                 BUCKET: pa.array(np.full(n + f, bucket), pa.int32()),
                 "row": pa.array(np.concatenate((np.arange(n), np.full(f, -1))), pa.int32()),
-                "size": pa.array(np.concatenate((sets.sizes, np.zeros(f, np.int64))), pa.int64()),
-                "node": pa.array(np.concatenate((as_long(names), as_long(pairs[0])))),
-                "file": pa.array(np.concatenate((is_first.astype(np.int64), as_long(pairs[1])))),
+                "size": pa.array(np.concatenate((sets.sizes, marks)), pa.int64()),
+                "node": pa.array(np.concatenate((as_long(names), as_long(nodes)))),
+                "file": pa.array(np.concatenate((is_first.astype(np.int64), as_long(keys)))),
             }
         )
 
@@ -200,6 +215,25 @@ def _sets_of(words: int):
     return fn
 
 
+def _unique_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where the first of each different pair (a, b) is, in their order."""
+    by = np.lexsort((b, a))
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
+    return by[fresh]
+
+
+def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Root of each of `at`, which then points to it."""
+    root = parent[at]
+    while True:
+        up = parent[root]
+        if (up == root).all():
+            parent[at] = root
+            return root
+        root = up
+
+
 def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list | None = None) -> np.ndarray:
     """For each set the least index it is linked with, directly or through others.
 
@@ -213,9 +247,9 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list
     place[by] = np.arange(n)
     sized = sets.sizes[by]
     p = scheme.percent
-    owner, keys = sets.files(scheme)
-    pairs = np.unique(np.stack([keys, owner.astype(U)]), axis=1)
-    keys, owner = pairs[0], pairs[1].astype(np.int64)
+    owner, keys, _ = sets.files(scheme)
+    only = _unique_pairs(keys, owner)
+    owner, keys = owner[only], keys[only]
     _, file, members = np.unique(keys, return_inverse=True, return_counts=True)
     file_end = np.cumsum(members)
     own = np.argsort(owner, kind="stable")
@@ -236,7 +270,7 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list
         else:
             near = by[rank + 1 : reach]
         if links is None:
-            near = near[root[near] != root[i]]
+            near = near[_roots(root, near) != _roots(root, np.array([i]))[0]]
         if side is not None:
             near = near[side[near] != side[i]]
         if not len(near):
@@ -252,10 +286,10 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list
             if len(hit):
                 if links is not None:
                     links.append((np.full(len(hit), i), hit))
-                roots = np.unique(np.append(root[hit], root[i]))
-                root[np.isin(root, roots)] = roots[0]
+                roots = _roots(root, np.append(hit, i))
+                root[roots] = roots.min()
         flag[token[a : a + size]] = False
-    return root
+    return _roots(root, np.arange(n))
 
 
 def _verify(scheme: Scheme, every: bool):
@@ -287,12 +321,40 @@ def _verify(scheme: Scheme, every: bool):
             for a, b in links:
                 out_a.append(node[group[a]])
                 out_b.append(node[group[b]])
+            del sets
+            give_back()
         none = [np.zeros(0, np.int64)]
         return pa.table({"u": pa.array(np.concatenate(out_a or none)), "v": pa.array(np.concatenate(out_b or none))})
 
     return fn
 
 
+def _candidates(files: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect all sets which may be linked.
+
+    Subsets of few tokens agree by chance, and in a large corpus that connects every set with
+    every other. But linked sets agree in `AGREE` segments, so pairs of sets in small files count only
+    if they share files of so many segments. Pairs of two neighbours of a file's subset differ too
+    much and do not count. The sets of larger files are connected through the least of them; a pair
+    that shares one of these needs no other.
+    """
+    own, tiny = F.col("size").bitwiseAND(1) == 1, F.col("size").bitwiseAND(2) == 2
+    files = files.select("file", "node", F.shiftright("size", 2).alias("seg"), own.alias("own"), tiny.alias("tiny"))
+    hubs = files.groupBy("file").agg(
+        F.min("node").alias("v"), F.max("node").alias("m"), F.count(F.lit(1)).alias("n"),
+        F.count_if("own").alias("owns"), F.max("tiny").alias("few"),
+    )
+    shared = files.join(hubs.filter("v < m and owns > 0"), "file")
+    by_pairs = (F.col("few") & (F.col("owns") <= CROWD)) | (F.col("n") <= SMALL)
+    star = shared.filter(~by_pairs).select(F.col("node").alias("u"), "v")
+    small = shared.filter(by_pairs)
+    own_ones = small.filter("own").select("file", F.col("node").alias("mine"))
+    pairs = small.join(own_ones, "file").filter("node <> mine")
+    pairs = pairs.groupBy(F.greatest("node", "mine").alias("u"), F.least("node", "mine").alias("v"))
+    agreed = pairs.agg(F.size(F.collect_set("seg")).alias("segments")).filter(F.col("segments") >= AGREE)
+    return star.union(agreed.select("u", "v"))
+
+
 def _verified(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -324,10 +386,7 @@ def _verified(
         "filed",
     )
     docs_rows = rows.filter(F.col("kind") == DOC)
-    files = rows.filter(F.col("kind") == FILE).select("file", "node")
-    hubs = files.groupBy("file").agg(F.min("node").alias("v"), F.max("node").alias("m")).filter("v < m")
-    edges = files.join(hubs, "file").select(F.col("node").alias("u"), "v")
-    candidates = components(edges)
+    candidates = components(_candidates(rows.filter(F.col("kind") == FILE)))
     first = docs_rows.filter("file = 1 and size > 0").select("node", BUCKET, "row", "size")
     chosen = candidates.join(first, "node")
     blocks = chosen.groupBy("component").agg(F.ceil(F.sum("size") * 8 / F.lit(limit)).cast("int").alias("blocks"))

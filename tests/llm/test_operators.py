@@ -94,8 +94,10 @@ def test_cut_passages_keeps_columns(docs, rows):
             assert cut[i].n_chars == len(cut[i].text or "") and cut[i].id == "z" and cut[i].row == 7
 
 
-@pytest.mark.parametrize("limit, page", [(jaccard_join.LIMIT, 1 << 20), (1_000, 2_000)])
-def test_jaccard(docs, rows, limit, page, monkeypatch):
+@pytest.mark.parametrize("limit, page, crowd", [(jaccard_join.LIMIT, 1 << 20, 256), (1_000, 2_000, 1)])
+def test_jaccard(docs, rows, limit, page, crowd, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    monkeypatch.setattr(jaccard_join, "SMALL", crowd)
     monkeypatch.setattr(jaccard_join.Buckets.__init__, "__defaults__", (page,))
     want = sorted((i, *x) for i, x in plain.jaccard(rows).items())
     assert found(jaccard_join.link_documents(docs, limit=limit)) == want
@@ -115,8 +117,10 @@ def test_jaccard_schemes_find_all_links():
                 if 100 * both < 80 * (len(a) + len(b) - both):
                     continue
                 sets = jaccard_join.Sets(np.concatenate((a, b)), np.array([len(a), len(b)]))
-                owner, keys = sets.files(scheme)
-                assert set(keys[owner == 0]) & set(keys[owner == 1])
+                owner, keys, marks = sets.files(scheme)
+                shared = set(keys[owner == 0]) & set(keys[owner == 1])
+                own = {k for k, m in zip(keys, marks) if m & 1}
+                assert len({m >> 2 for k, m in zip(keys, marks) if k in shared & own}) >= jaccard_join.AGREE or scheme.distance(int(scheme.band(sets.sizes).min())) == 0
                 assert jaccard_join.link(sets, scheme).tolist() == [0, 0]
 
 
