@@ -6,14 +6,16 @@ Instances are rows `(id, values ARRAY<DOUBLE>, label)`.
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronoloom.frame import TimeSeriesFrame
+from chronoloom.shared import cut_lineage
 
 # Vectors that one join block holds on either side.
 BLOCK_ROWS = 8_192
@@ -52,117 +54,177 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
-    """`(id, rank, neighbour, distance)`: k nearest training rows by Euclidean distance,
-    with the `label` of the neighbour when the training table has one.
-
-    When both sides hold an id, that training row is skipped, which makes a table
-    against itself leave-one-out. Exact at any size and without a cross join:
+@dataclass(frozen=True)
+class PivotIndex:
+    """Training rows by their nearest pivot, packed in blocks of bounded size.
 
-    1. Training rows go to the nearest of a fixed number of pivots. Row counts and
-       radii per pivot are all that reaches the driver.
-    2. From these, each query gets a distance that surely holds k neighbours, and by the
-       triangle inequality only cells that may lie within it are visited.
-    3. Crowded cells, and the queries that visit them, are cut into blocks of bounded
-       size. A pair of blocks is one task, and each query leaves it with k rows only.
+    `blocks` has `(cell, part, names, points, tags)`, at most about `block_rows` rows each; `cells`
+    has `(cell, n, parts, radius)` for the cells with rows, no more of them than pivots.
     """
-    if k < 1:
-        raise ValueError("k must be positive")
-    pivot_rows = train.select("values").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
-    if not pivot_rows:
-        raise ValueError("The training table is empty")
-    pivots = np.array([r[0] for r in pivot_rows], float)
 
+    blocks: DataFrame
+    pivots: np.ndarray
+    cells: tuple[tuple[int, int, int, float], ...]
+    id_type: str
+    label_type: str | None
+
+    def save(self, path: str) -> None:
+        """Writes the index as two Parquet folders; both must not exist yet."""
+        self.blocks.write.parquet(f"{path}/blocks")
+        rows = [(int(c), self.pivots[c].tolist(), n, parts, r) for c, n, parts, r in self.cells]
+        spare = set(range(len(self.pivots))) - {c for c, *_ in self.cells}
+        rows += [(c, self.pivots[c].tolist(), 0, 0, 0.0) for c in sorted(spare)]
+        spark = self.blocks.sparkSession
+        spark.createDataFrame(rows, _CELLS).coalesce(1).write.parquet(f"{path}/cells")
+
+
+_CELLS = "cell int, pivot array<double>, n bigint, parts int, radius double"
+
+
+def load_index(spark: SparkSession, path: str) -> PivotIndex:
+    blocks = spark.read.parquet(f"{path}/blocks")
+    rows = sorted(spark.read.parquet(f"{path}/cells").collect())
+    kind = lambda c: blocks.schema[c].dataType.elementType.simpleString()
+    return PivotIndex(
+        blocks, np.array([r.pivot for r in rows], float), tuple((r.cell, r.n, r.parts, r.radius) for r in rows if r.n),
+        kind("names"), kind("tags") if "tags" in blocks.columns else None,
+    )
+
+
+def _homes(pivots: np.ndarray):
     @F.pandas_udf("struct<cell:int,away:double>")
     def home(values: pd.Series) -> pd.DataFrame:
         d = _distances(np.stack(values.to_numpy()), pivots)
         return pd.DataFrame({"cell": d.argmin(1).astype("int32"), "away": d.min(1)})
 
-    labelled = ["label"] if "label" in train.columns else []
-    # New names on this side: with the same table on both sides, a grouped map takes
-    # columns of one name for one column.
-    housed = train.select(
-        F.col("id").alias("neighbour"), F.col("values").alias("point"),
-        *[F.col(c).alias("tag") for c in labelled], home("values").alias("p"),
-    )
-    tagged = ["tag"] if labelled else []
-    stats = (
-        housed.groupBy("p.cell").agg(F.count(F.lit(1)).alias("n"), F.max("p.away").alias("r")).collect()
+    return home
+
+
+def pivot_index(train: DataFrame, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> PivotIndex:
+    """Index of training rows `(id, values, label)`; rows with equal ids are all kept."""
+    chosen = train.select("values").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+    if not chosen:
+        raise ValueError("The training table is empty")
+    points = np.array([r[0] for r in chosen], float)
+    labelled = "label" in train.columns
+    housed = train.withColumn("p", _homes(points)("values")).select("*", "p.*")
+    stats = housed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).collect()
+    cells = tuple(sorted((s["cell"], s["n"], -(-s["n"] // block_rows), s["r"]) for s in stats))
+    parts = F.create_map(*[F.lit(v) for c, _, n, _ in cells for v in (c, n)])
+    # Dealt by id and values, so that many rows of one id do not crowd a block.
+    part = F.pmod(F.xxhash64("id", "values"), parts[F.col("cell")]).cast("int")
+    row = F.struct(F.col("id").alias("name"), F.col("values").alias("point"), *([F.col("label").alias("tag")] if labelled else []))
+    packed = housed.groupBy("cell", part.alias("part")).agg(F.collect_list(row).alias("rows"))
+    columns = {"names": "name", "points": "point", **({"tags": "tag"} if labelled else {})}
+    blocks = packed.select("cell", "part", *[F.col(f"rows.{c}").alias(name) for name, c in columns.items()])
+    kind = lambda c: train.schema[c].dataType.simpleString()
+    return PivotIndex(cut_lineage(blocks), points, cells, kind("id"), kind("label") if labelled else None)
+
+
+def _search(asked: DataFrame, index: PivotIndex, k: int, id_type: str, block_rows: int) -> DataFrame:
+    """`(id, neighbour, distance, label)`: the k nearest in each block of the cells that a query visits.
+
+    Queries `(id, values, cell)` of a cell are packed and go to the blocks of that cell. A block
+    is moved once, however many queries there are; packs stream past it.
+    """
+    sizes = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}  # a row for each cell
+    label_type = index.label_type
+    schema = f"id {id_type}, neighbour {index.id_type}, distance double" + (f", label {label_type}" if label_type else "")
+    if not sizes:
+        return asked.sparkSession.createDataFrame([], schema)
+    slices = F.create_map(*[F.lit(v) for c, n in sizes.items() for v in (c, -(-n // block_rows))])
+    parts = F.create_map(*[F.lit(v) for c, _, n, _ in index.cells for v in (c, n)])
+    slot = F.pmod(F.xxhash64("id", "values"), slices[F.col("cell")])
+    packs = asked.groupBy("cell", slot.alias("slot")).agg(F.collect_list(F.struct("id", "values")).alias("rows"))
+    packs = packs.select(
+        "cell", F.col("rows.id").alias("ids"), F.col("rows.values").alias("vectors"),
+        F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1)).alias("part"),
     )
-    cells = np.array([s["cell"] for s in stats])
-    sizes, radii = np.array([s["n"] for s in stats]), np.array([s["r"] for s in stats])
+
+    def match(batches):
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                names, tv = np.asarray(row["names"], object), np.stack(row["points"]).astype(float)
+                by = np.argsort(names, kind="stable")
+                names, tv = names[by], tv[by]
+                tags = np.asarray(row["tags"], object)[by] if label_type else None
+                ids, qv = np.asarray(row["ids"], object), np.stack(row["vectors"]).astype(float)
+                piece = max(1, 8_000_000 // len(tv))
+                for i in range(0, len(ids), piece):
+                    d = np.round(_distances(qv[i : i + piece], tv), DIGITS)
+                    mine = ids[i : i + piece]
+                    d[mine[:, None] == names[None, :]] = np.inf
+                    # Stable sort: equal distances stay in id order.
+                    top = np.argsort(d, axis=1, kind="stable")[:, :k]
+                    found = np.take_along_axis(d, top, 1)
+                    keep = np.isfinite(found).ravel()
+                    out = {
+                        "id": np.repeat(mine, top.shape[1])[keep],
+                        "neighbour": names[top].ravel()[keep],
+                        "distance": found.ravel()[keep],
+                    }
+                    if label_type:
+                        out["label"] = tags[top].ravel()[keep]
+                    yield pd.DataFrame(out)
+
+    return packs.join(index.blocks, ["cell", "part"]).drop("cell", "part").mapInPandas(match, schema)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = W.partitionBy("id").orderBy("distance", "neighbour")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def nearest(
+    queries: DataFrame, train: DataFrame | PivotIndex, k: int = 1, block_rows: int = BLOCK_ROWS, pivots: int = PIVOTS
+) -> DataFrame:
+    """`(id, rank, neighbour, distance)`: k nearest training rows by Euclidean distance,
+    with the `label` of the neighbour when the training table has one.
+
+    Training rows with the query's id are skipped, which makes a table against itself
+    leave-one-out; query ids must differ. Exact at any size and without a cross join:
+
+    1. Training rows are filed by the nearest of a fixed number of pivots (`pivot_index`, which
+       can be saved and searched again). Row counts and radii by pivot are all that reaches the driver.
+    2. Each query first searches the cells of its nearest pivots, as many as surely hold k
+       others. That gives a tight k-th distance.
+    3. By the triangle inequality only cells within that distance can hold a nearer row; the
+       query visits those that it has not seen yet.
+    """
+    if k < 1:
+        raise ValueError("k must be positive")
+    index = train if isinstance(train, PivotIndex) else pivot_index(train, pivots, block_rows)
+    cells, sizes, _, radii = (np.array(x) for x in zip(*index.cells))
+    centres = index.pivots[cells]
     # One more than k, since a query may meet itself.
     need = min(k + 1, int(sizes.sum()))
-    slices = {int(c): int(-(-n // BLOCK_ROWS)) for c, n in zip(cells, sizes)}
-    n_queries = queries.count()
-    query_slices = max(1, -(-n_queries // BLOCK_ROWS))
+    id_type = queries.schema["id"].dataType.simpleString()
 
     @F.pandas_udf("array<int>")
-    def visits(values: pd.Series) -> pd.Series:
-        d = _distances(np.stack(values.to_numpy()), pivots[cells])
-        order = np.argsort(d + radii, axis=1)
-        reach = np.take_along_axis(d + radii, order, 1)
+    def start(values: pd.Series) -> pd.Series:
+        d = _distances(np.stack(values.to_numpy()), centres)
+        order = np.argsort(d, axis=1, kind="stable")
         enough = (np.cumsum(sizes[order], axis=1) >= need).argmax(1)
-        bound = reach[np.arange(len(d)), enough]
-        # A little slack, so that rounding never rules a cell out.
-        near = d - radii <= bound[:, None] * (1 + 1e-9) + 1e-9
-        return pd.Series([cells[row].astype("int32") for row in near])
-
-    per_cell = F.create_map(*[F.lit(v) for c, n in slices.items() for v in (c, n)])
+        return pd.Series([cells[row[: n + 1]].astype("int32") for row, n in zip(order, enough)])
 
-    def salt(column: str, n) -> Column:
-        return F.pmod(F.xxhash64(column), n).cast("int")
+    @F.pandas_udf("array<int>")
+    def within(values: pd.Series, bound: pd.Series) -> pd.Series:
+        d = _distances(np.stack(values.to_numpy()), centres) - radii
+        # A little slack, so that rounding never rules a cell out; without a bound all cells count.
+        reach = bound.to_numpy(float)[:, None]
+        near = (d <= reach * (1 + 1e-9) + 10.0**-DIGITS) | np.isnan(reach)
+        return pd.Series([cells[row].astype("int32") for row in near])
 
-    blocks = housed.select(
-        "neighbour", "point", *tagged, F.col("p.cell").alias("cell"),
-        salt("neighbour", per_cell[F.col("p.cell")]).alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_slices - 1))).alias("qpart"),
-    )
-    asked = queries.select(
-        "id", "values", F.explode(visits("values")).alias("cell"),
-        salt("id", F.lit(query_slices)).alias("qpart"),
-    )
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), per_cell[F.col("cell")] - 1)))
-
-    def match(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        columns = ["id", "neighbour", "distance", *labelled]
-        if q.empty or t.empty:
-            return pd.DataFrame({c: [] for c in columns})
-        t = t.sort_values("neighbour", kind="stable")
-        names, tv = t["neighbour"].to_numpy(), np.stack(t["point"].to_numpy())
-        out = []
-        piece = max(1, 8_000_000 // len(tv))
-        for i in range(0, len(q), piece):
-            part = q.iloc[i : i + piece]
-            d = np.round(_distances(np.stack(part["values"].to_numpy()), tv), DIGITS)
-            ids = part["id"].to_numpy()
-            d[ids[:, None] == names[None, :]] = np.inf
-            # Stable sort: equal distances stay in id order.
-            top = np.argsort(d, axis=1, kind="stable")[:, :k]
-            found = np.take_along_axis(d, top, 1)
-            keep = np.isfinite(found)
-            row = {
-                "id": np.repeat(ids, top.shape[1])[keep.ravel()],
-                "neighbour": names[top].ravel()[keep.ravel()],
-                "distance": found.ravel()[keep.ravel()],
-            }
-            for c in labelled:
-                row[c] = t["tag"].to_numpy()[top].ravel()[keep.ravel()]
-            out.append(pd.DataFrame(row))
-        return pd.concat(out, ignore_index=True)
-
-    id_type = queries.schema["id"].dataType.simpleString()
-    other_type = train.schema["id"].dataType.simpleString()
-    on = ["cell", "part", "qpart"]
-    pairs = asked.groupBy(*on).cogroup(blocks.groupBy(*on)).applyInPandas(
-        match,
-        f"id {id_type}, neighbour {other_type}, distance double"
-        + "".join(f", {c} {train.schema[c].dataType.simpleString()}" for c in labelled),
-    )
-    order = W.partitionBy("id").orderBy("distance", "neighbour")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "id", "rank", "neighbour", "distance", *labelled
-    )
+    asked = queries.select("id", "values", start("values").alias("seen"))
+    first = _best(_search(asked.select("id", "values", F.explode("seen").alias("cell")), index, k, id_type, block_rows), k)
+    first = cut_lineage(first.drop("rank"))
+    bounds = first.groupBy("id").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("found"))
+    bounds = bounds.select("id", F.when(F.col("found") >= k, F.col("far")).alias("bound"))
+    more = asked.join(bounds, "id", "left")
+    more = more.withColumn("cell", F.explode(F.array_except(within("values", "bound"), "seen")))
+    second = _search(more.select("id", "values", "cell"), index, k, id_type, block_rows)
+    labelled = ["label"] if index.label_type else []
+    return _best(first.unionByName(second), k).select("id", "rank", "neighbour", "distance", *labelled)
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
@@ -183,13 +245,13 @@ def class_labels(train: DataFrame) -> list:
 
 def knn_proba(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
     """`(id, label, probability)`: vote share, one row per instance and class."""
-    classes = class_labels(train)
+    classes = train.agg(F.sort_array(F.collect_set("label")).alias("options"))
     votes = nearest(queries, train, k).groupBy("id").agg(
         F.collect_list("label").alias("labels")
     )
-    options = F.array(*[F.lit(c) for c in classes])
     share = F.size(F.filter("labels", lambda v: v == F.col("label"))) / F.size("labels")
-    return votes.withColumn("label", F.explode(options)).select("id", "label", share.alias("probability"))
+    listed = votes.select("id", "labels", F.explode(classes.scalar()).alias("label"))
+    return listed.select("id", "label", share.alias("probability"))
 
 
 def knn_regress(queries: DataFrame, train: DataFrame, k: int = 5) -> DataFrame:
