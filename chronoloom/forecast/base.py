@@ -176,6 +176,10 @@ class Forecaster:
         """`tsf` with `pos`, `n` and `yhat_<h>` from all earlier rows in one pass, or None."""
         return None
 
+    def rolling_normal(self, tsf: TimeSeriesFrame, fh: tuple[int, ...], window: int | None):
+        """`rolling` with `sigma_<h>` beside each `yhat_<h>`, or None."""
+        return None
+
 
 def save_params(params: DataFrame, path: str, overwrite: bool = False) -> None:
     keys_of(params)

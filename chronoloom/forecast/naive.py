@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.forecast.base import Forecaster
+from chronoloom.forecast.running import ahead, sigma
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import head_rows, lagged, nearby, null_safe_join, positions, running
 
@@ -18,6 +19,25 @@ def _squares(e: Column) -> Column:
     return F.sum(e * e)
 
 
+def _running_errors(tsf: TimeSeriesFrame, back: int) -> TimeSeriesFrame:
+    """Adds as of each row: last value, first value, number of values, sums of the differences
+    from `back` rows earlier and of their squares, and moments about the first value."""
+    placed = positions(tsf, "__spot", None)
+    rows = lagged(placed, {"__lag": (tsf.target, back)})
+    at0 = F.when(F.col("__spot") == 0, tsf.y.cast("double"))
+    rows = running(rows, {"__first": ("min", at0)})
+    d, u = tsf.y.cast("double") - F.col("__lag"), tsf.y - F.col("__first")
+    sums = {
+        "__known": ("count", tsf.y), "__pairs": ("count", d), "__d": ("sum", d), "__dd": ("sum", d * d),
+        "__u": ("sum", u), "__uu": ("sum", u * u),
+    }
+    out = running(rows, sums)
+    return out.with_df(out.df.withColumn("__last", tsf.y.cast("double")).drop("__lag", "__spot"))
+
+
+_ERRORS = {c: f"__{c}" for c in ("last", "first", "known", "pairs", "d", "dd", "u", "uu")}
+
+
 def _in_order(point: Column) -> Column:
     """The `y` of (position, y) structs in position order; NULL structs are left out."""
     return F.transform(F.array_sort(F.collect_list(point)), lambda s: s["y"])
@@ -49,6 +69,15 @@ class NaiveLast(Forecaster):
         placed = positions(tsf, "pos", "n")
         return lagged(placed, {f"yhat_{h}": (tsf.target, h) for h in fh})
 
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+
+        def made(s, h):
+            return {"yhat": s["last"], "sigma": sigma(s["dd"], s["known"] - 1, F.lit(float(h)))}
+
+        return ahead(_running_errors(tsf, 1), fh, _ERRORS, made)
+
 
 class SeasonalNaive(Forecaster):
     """Repeats the last `sp` values, counted from the end of the series.
@@ -109,6 +138,17 @@ class SeasonalNaive(Forecaster):
         back = {h: self.sp * -(-h // self.sp) for h in fh}
         return lagged(placed, {f"yhat_{h}": (tsf.target, back[h]) for h in fh})
 
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+
+        def made(s, h):
+            return {"sigma": sigma(s["dd"], s["known"] - self.sp, F.lit(float((h - 1) // self.sp + 1)))}
+
+        spreads = ahead(_running_errors(tsf, self.sp), fh, _ERRORS, made)
+        back = {h: self.sp * -(-h // self.sp) for h in fh}
+        return lagged(spreads, {f"yhat_{h}": (tsf.target, back[h]) for h in fh})
+
 
 class NaiveMean(Forecaster):
     """Mean of all values, or of the last `window_length`, by season slot when sp > 1.
@@ -182,6 +222,18 @@ class NaiveMean(Forecaster):
         return out.with_df(out.df.drop("__s", "__c"))
 
 
+    def rolling_normal(self, tsf, fh, window):
+        if window or self.sp > 1 or self.window_length:
+            return None
+
+        def made(s, h):
+            n = F.nullif(s["known"], F.lit(0))
+            sse = F.greatest(s["uu"] - s["u"] * s["u"] / n, F.lit(0.0))
+            return {"yhat": s["first"] + s["u"] / n, "sigma": sigma(sse, s["known"] - 1, 1 + 1 / n)}
+
+        return ahead(_running_errors(tsf, 1), fh, _ERRORS, made)
+
+
 class Drift(Forecaster):
     """Line through the first and the last value."""
 
@@ -234,3 +286,15 @@ class Drift(Forecaster):
             slope = (F.col(f"__lag{h}") - F.col("__at0")) / F.nullif(F.col("pos") - h, F.lit(0))
             cols[f"yhat_{h}"] = F.col(f"__lag{h}") + h * slope
         return out.with_df(out.df.withColumns(cols).drop("__at0", *[f"__lag{h}" for h in fh]))
+
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+
+        def made(s, h):
+            steps = F.nullif(s["known"] - 1, F.lit(0))
+            sse = F.greatest(s["dd"] - s["d"] * s["d"] / F.nullif(s["pairs"], F.lit(0)), F.lit(0.0))
+            yhat = s["last"] + h * ((s["last"] - s["first"]) / steps)
+            return {"yhat": yhat, "sigma": sigma(sse, s["known"] - 2, h * (1 + h / steps))}
+
+        return ahead(_running_errors(tsf, 1), fh, _ERRORS, made)

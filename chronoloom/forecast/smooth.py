@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.forecast.base import DEFAULT_HORIZON, Forecaster, future, keys_of
+from chronoloom.forecast.running import ahead, sigma, smoothed
 from chronoloom.frame import TimeSeriesFrame
-from chronoloom.functions.ordered import CHUNK, attach, chunked, head_rows, null_safe_join, positions
+from chronoloom.functions.ordered import CHUNK, attach, chunked, head_rows, null_safe_join, positions, running
 
 ALPHAS = tuple(i / 10 for i in range(1, 10))
 
@@ -68,6 +69,20 @@ class SES(Forecaster):
     def merged(self):
         raise NotImplementedError("Smoothers weigh the whole past; fit again")
 
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+
+        def made(s, h):
+            spread = 1 + (h - 1) * s["alpha"] * s["alpha"]
+            return {"yhat": s["level"], "sigma": sigma(s["sse"], s["known"] - 1, spread)}
+
+        state = {c: f"__{c}" for c in ("level", "alpha", "sse", "known")}
+        return ahead(smoothed(tsf, self.grid), fh, state, made)
+
+    def rolling(self, tsf, fh, window):
+        return self.rolling_normal(tsf, fh, window)
+
 
 def _ses_map(ys: str, base: Column, alpha: Column) -> Column:
     """level_out = a * level_in + b, and SSE = s0 - 2 s1 level_in + s2 level_in^2.
@@ -134,6 +149,35 @@ class Theta(Forecaster):
     def spread(self):
         return self.ses.spread()
 
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+        states = smoothed(tsf, self.ses.grid)
+        x = positions(states.with_df(states.df.where(tsf.y.isNotNull())), "__x", None).df
+        # Numbered over the values only, as in `fit`; rows without one get the sums up to there.
+        rows = null_safe_join(states.df, x.select(*tsf.keys, tsf.time, "__x"), [*tsf.keys, tsf.time], "left")
+        x, first = F.col("__x").cast("double"), F.min_by(tsf.y, tsf.ts)
+        base = states.with_df(rows)
+        starts = rows.where(tsf.y.isNotNull()).groupBy(*tsf.keys).agg(first.cast("double").alias("__base"))
+        base = attach(base, starts, "left")
+        u = tsf.y - F.col("__base")
+        sums = running(base, {"__sx": ("sum", x), "__sxx": ("sum", x * x), "__su": ("sum", u), "__sxu": ("sum", x * u)})
+        c = F.col("__known")
+        rise = F.col("__sxu") - F.col("__sx") * F.col("__su") / c
+        run = F.nullif(F.col("__sxx") - F.col("__sx") * F.col("__sx") / c, F.lit(0.0))
+        sums = sums.with_df(sums.df.withColumn("__slope", rise / run).drop("__x", "__base", "__sx", "__sxx", "__su", "__sxu"))
+
+        def made(s, h):
+            lead = h - 1 + (1 - F.pow(1 - s["alpha"], s["known"])) / s["alpha"]
+            spread = 1 + (h - 1) * s["alpha"] * s["alpha"]
+            yhat = s["level"] + 0.5 * F.coalesce(s["slope"], F.lit(0.0)) * lead
+            return {"yhat": yhat, "sigma": sigma(s["sse"], s["known"] - 1, spread)}
+
+        return ahead(sums, fh, {c: f"__{c}" for c in ("level", "alpha", "sse", "known", "slope")}, made)
+
+    def rolling(self, tsf, fh, window):
+        return self.rolling_normal(tsf, fh, window)
+
 
 # Candidate weights of the automatic choice: level, trend and season.
 LEVEL_GRID = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)

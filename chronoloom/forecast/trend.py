@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.forecast.base import DEFAULT_HORIZON, Forecaster, future, keys_of
+from chronoloom.forecast.running import ahead, autoregressed, sigma
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import lagged, null_safe_join, positions, running
 
@@ -216,6 +217,24 @@ class AR1(Forecaster):
         )
 
 
+    def rolling_normal(self, tsf, fh, window):
+        if window:
+            return None
+
+        def made(s, h):
+            phi, sq = s["phi"], s["phi"] * s["phi"]
+            one = F.lit(0.0)
+            grown = F.when(phi == 1.0, F.lit(float(h))).otherwise((1 - F.pow(phi, F.lit(h))) / F.nullif(1 - phi, one))
+            spread = F.when(sq == 1.0, F.lit(float(h))).otherwise((1 - F.pow(sq, F.lit(h))) / F.nullif(1 - sq, one))
+            yhat = s["a"] * grown + F.pow(phi, F.lit(h)) * s["last"]
+            return {"yhat": yhat, "sigma": sigma(s["sse"], s["known"] - 3, spread)}
+
+        return ahead(autoregressed(tsf), fh, {c: f"__{c}" for c in ("phi", "a", "last", "sse", "known")}, made)
+
+    def rolling(self, tsf, fh, window):
+        return self.rolling_normal(tsf, fh, window)
+
+
 class PooledAR(Forecaster):
     """One linear autoregression over p lags, fitted on the rows of all series together.
 

@@ -53,13 +53,17 @@ POINT: dict[str, Callable[[Column, Column], Column]] = {
 
 #: Metrics that also need the training rows.
 SCALED = ("mase",)
+#: Metrics of a normal forecast, with mean and deviation.
+NORMAL = ("coverage", "pinball", "crps")
 
 
 def resolve(name: str) -> Callable[[Column, Column], Column]:
     if name in SCALED:
         raise ValueError(f"Metric {name!r} needs the training rows; use evaluate")
+    if name in NORMAL:
+        raise ValueError(f"Metric {name!r} needs a mean and a deviation; use evaluate or `normal`")
     if name not in POINT:
-        raise ValueError(f"Unknown metric {name!r}; use one of {[*POINT, *SCALED]}")
+        raise ValueError(f"Unknown metric {name!r}; use one of {[*POINT, *SCALED, *NORMAL]}")
     return POINT[name]
 
 
@@ -108,3 +112,17 @@ def crps_normal(y: Column, mu: Column, sigma: Column, levels: int = 99) -> Colum
     )
     total = F.aggregate(losses, F.lit(0.0), lambda acc, x: acc + x)
     return F.avg(2 * total / levels)
+
+
+def normal(name: str, y: Column, mu: Column, sigma: Column, level: float = 0.9, alpha=(0.05, 0.95)) -> Column:
+    """A metric of NORMAL: the share of values in the central interval of `level`, the pinball loss
+    averaged over the quantiles `alpha`, or the CRPS."""
+    if name == "crps":
+        return crps_normal(y, mu, sigma)
+    if name == "coverage":
+        z = NormalDist().inv_cdf(0.5 + level / 2)
+        return coverage(y, mu - z * sigma, mu + z * sigma)
+    if name != "pinball":
+        raise ValueError(f"Unknown metric {name!r}; use one of {[*NORMAL]}")
+    losses = [pinball(y, mu + NormalDist().inv_cdf(a) * sigma, F.lit(float(a))) for a in alpha]
+    return sum(losses[1:], losses[0]) / len(losses)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.forecast.base import Forecaster
+from chronoloom.forecast.base import Forecaster, levels
 from chronoloom.forecast.naive import NaiveMean
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions import metrics as M
@@ -17,35 +17,42 @@ from chronoloom.functions.ordered import lagged, null_safe_join
 from chronoloom.operators.split import Folds
 
 
-def cv_predictions(forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Folds) -> DataFrame:
+def cv_predictions(
+    forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Folds, spread: bool = False
+) -> DataFrame:
     """`(keys…, fold, h, ts, y, yhat)` for every test row of every fold.
 
     A model with a running form gives the forecasts of all folds in one pass over the
-    series. Others are fitted per (key, fold) on the rows that each fold uses.
+    series. Others are fitted per (key, fold) on the rows that each fold uses. With `spread`,
+    `sigma` is the standard deviation of the forecast, from the errors within the fold.
     """
     if not isinstance(tsf.df.schema[tsf.target].dataType, T.NumericType):
         raise ValueError(f"Target column '{tsf.target}' is not numeric; convert it first")
     if not isinstance(forecaster, Forecaster):
         raise ValueError("evaluate needs a forecaster")
-    out = forecaster.rolling(tsf, folds.fh, folds.window)
+    out = (forecaster.rolling_normal if spread else forecaster.rolling)(tsf, folds.fh, folds.window)
     if out is not None:
-        scored = _rolling_predictions(tsf, out.df, folds)
+        scored = _rolling_predictions(tsf, out.df, folds, spread=spread)
     else:
-        scored = _refit_predictions(forecaster, tsf, folds)
+        scored = _refit_predictions(forecaster, tsf, folds, spread)
     keys = list(tsf.keys)
     gone = F.col("yhat").isNull() | F.isnan("yhat") | F.col("y").isNull()
+    if spread:
+        gone = gone | F.col("sigma").isNull() | F.isnan("sigma")
     where = F.to_json(F.struct(*keys, "fold", "h"))
     checked = F.when(gone, F.raise_error(F.concat(F.lit("No forecast or actual value at "), where)))
     return scored.select(
-        *keys, "fold", "h", "ts", "y", checked.otherwise(F.col("yhat")).cast("double").alias("yhat")
+        *keys, "fold", "h", "ts", "y", checked.otherwise(F.col("yhat")).cast("double").alias("yhat"),
+        *(["sigma"] if spread else []),
     )
 
 
 def _rolling_predictions(
-    tsf: TimeSeriesFrame, df: DataFrame, folds: Folds, fh: tuple[int, ...] | None = None
+    tsf: TimeSeriesFrame, df: DataFrame, folds: Folds, fh: tuple[int, ...] | None = None, spread: bool = False
 ) -> DataFrame:
+    made = ["yhat", "sigma"] if spread else ["yhat"]
     steps = F.array(
-        *[F.struct(F.lit(h).alias("h"), F.col(f"yhat_{h}").alias("yhat")) for h in fh or folds.fh]
+        *[F.struct(F.lit(h).alias("h"), *[F.col(f"{c}_{h}").alias(c) for c in made]) for h in fh or folds.fh]
     )
     rows = df.select(
         *tsf.keys, tsf.ts.alias("ts"), tsf.y.alias("y"), "pos", "n", F.explode(steps).alias("s")
@@ -55,21 +62,26 @@ def _rolling_predictions(
     fold = F.call_function("div", end - first, F.lit(folds.step))
     used = (end >= first) & (first + fold * folds.step == end) & (fold < folds.count(n))
     return rows.where(used).select(
-        *tsf.keys, fold.alias("fold"), F.col("s.h").alias("h"), "ts", "y", F.col("s.yhat").alias("yhat")
+        *tsf.keys, fold.alias("fold"), F.col("s.h").alias("h"), "ts", "y", *[F.col(f"s.{c}").alias(c) for c in made]
     )
 
 
-def _refit_predictions(forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Folds) -> DataFrame:
+def _refit_predictions(
+    forecaster: Forecaster, tsf: TimeSeriesFrame, folds: Folds, spread: bool = False
+) -> DataFrame:
     rows = folds.expand(tsf)
     keys = [*tsf.keys, "fold"]
     train = replace(tsf, df=rows.where("role = 'train'"), keys=tuple(keys), span=None)
     if hasattr(forecaster, "within"):  # pooled over series, but never over folds
         forecaster = forecaster.within("fold")
-    params = forecaster.fit(train)
+    params = forecaster.fit(train, residuals=True) if spread else forecaster.fit(train)
     more = {}
     if tsf.exog and hasattr(forecaster, "exog"):
         more["X"] = replace(train, df=rows.where("role = 'test'"))
-    ahead = forecaster.forecast(params, max(folds.fh), **more).select(*keys, "h", "yhat")
+    if spread:
+        ahead = forecaster.distribution(params, max(folds.fh), **more).select(*keys, "h", F.col("mu").alias("yhat"), "sigma")
+    else:
+        ahead = forecaster.forecast(params, max(folds.fh), **more).select(*keys, "h", "yhat")
     test = rows.where("role = 'test'").select(
         *keys, "h", tsf.ts.alias("ts"), tsf.y.alias("y")
     )
@@ -82,27 +94,37 @@ def evaluate(
     folds: Folds | None = None,
     metrics: Iterable[str] = ("mape",),
     sp: int = 1,
+    level: float = 0.9,
+    alpha: tuple[float, ...] = (0.05, 0.95),
 ) -> tuple[DataFrame, DataFrame]:
     """(scores per key and fold, summary per key and metric). A missing score fails the job.
 
+    The metrics `coverage` (of the central interval of `level`), `pinball` (averaged over the
+    quantiles `alpha`) and `crps` score the normal forecast of each fold.
+
     The metric `mase` is scaled by the seasonal differences, `sp` rows apart, of the rows that
     the fold trains on; the job fails if a fold has none.
     """
     metrics = list(metrics)
     for m in metrics:
-        if m not in M.SCALED:
+        if m not in M.SCALED and m not in M.NORMAL:
             M.resolve(m)
+    levels(level, "level")
+    alpha = levels(alpha, "alpha")
     folds = folds or Folds(cv_folds=3)
-    preds = cv_predictions(forecaster, tsf, folds)
+    spread = any(m in M.NORMAL for m in metrics)
+    preds = cv_predictions(forecaster, tsf, folds, spread)
     by = [*tsf.keys, "fold"]
-    plain = [m for m in metrics if m not in M.SCALED]
+    y, yhat = F.col("y"), F.col("yhat")
+    plain = [
+        (M.normal(m, y, yhat, F.col("sigma"), level, alpha) if m in M.NORMAL else M.resolve(m)(y, yhat)).alias(m)
+        for m in metrics
+        if m not in M.SCALED
+    ]
     if len(plain) == len(metrics):
-        scores = M.score(preds, metrics, by=by)
+        scores = preds.groupBy(*by).agg(*plain)
     else:
-        errors = preds.groupBy(*by).agg(
-            *[M.resolve(m)(F.col("y"), F.col("yhat")).alias(m) for m in plain],
-            M.mae(F.col("y"), F.col("yhat")).alias("__mae"),
-        )
+        errors = preds.groupBy(*by).agg(*plain, M.mae(y, yhat).alias("__mae"))
         scores = null_safe_join(errors, training_scales(tsf, folds, sp), by, "left")
         none = F.raise_error(F.concat(F.lit("No seasonal difference to scale by at "), F.to_json(F.struct(*by))))
         scale = F.coalesce("scale", none.cast("double"))

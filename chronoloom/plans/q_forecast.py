@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronoloom.forecast.base import join_actuals, load_params, save_params
 from chronoloom.forecast.custom import custom_forecaster
 from chronoloom.forecast.naive import Drift, NaiveLast, NaiveMean, SeasonalNaive
-from chronoloom.forecast.smooth import SES, AutoSmooth, Theta
+from chronoloom.forecast.smooth import ALPHAS, SES, AutoSmooth, Theta
 from chronoloom.forecast.trend import AR1, PooledAR, Trend, TrendExog
 from chronoloom.functions import metrics as M
 from chronoloom.operators.clean import fill_missing, regular_grid
@@ -544,3 +544,84 @@ def cv_sliding_mean(spark, sf_dir):
 def cv_refit(spark, sf_dir):
     """Smoothing has no running form, so it is fitted again for each fold."""
     return rounded(cv_predictions(SES(), by_type(spark, sf_dir), expanding_folds(cv_folds=3)), "yhat")
+
+
+_SMOOTH = f"""{TYPE_POS}, s AS (
+  SELECT event_type, pos, alpha, CAST(y AS DOUBLE) AS level, CAST(0 AS DOUBLE) AS sse
+  FROM p, (SELECT unnest({list(ALPHAS)}) AS alpha) WHERE pos = 0
+  UNION ALL
+  SELECT p.event_type, p.pos, alpha, level + alpha * (p.y - level), sse + (p.y - level) * (p.y - level)
+  FROM s JOIN p ON p.event_type = s.event_type AND p.pos = s.pos + 1),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY event_type, pos ORDER BY sse, alpha) = 1)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_SMOOTH}
+        SELECT p.event_type, p.pos - 10 AS fold, CAST(1 AS INTEGER) AS h, ts, y, round(level, 5) AS yhat,
+               round(sqrt(sse / (p.pos - 1)), 5) AS sigma
+        FROM p JOIN b ON b.event_type = p.event_type AND b.pos = p.pos - 1 WHERE p.pos >= 10"""
+)
+def cv_smoothing_running(spark, sf_dir):
+    """Simple smoothing at every cutoff, its weight chosen anew for each, from one pass."""
+    folds = expanding_folds(initial_window=10)
+    return rounded(cv_predictions(SES(), by_type(spark, sf_dir), folds, spread=True), "yhat", "sigma", digits=5)
+
+
+@query(
+    f"""WITH {TYPE_POS}, l AS (SELECT *, lag(y) OVER (PARTITION BY event_type ORDER BY pos) AS x FROM p),
+        m AS (
+          SELECT event_type, pos + 1 AS e, y AS last, regr_slope(y, x) OVER w AS phi, regr_intercept(y, x) OVER w AS a,
+            regr_syy(y, x) OVER w AS syy, regr_sxy(y, x) OVER w AS sxy, regr_sxx(y, x) OVER w AS sxx
+          FROM l WINDOW w AS (PARTITION BY event_type ORDER BY pos))
+        SELECT p.event_type, p.pos - 10 AS fold, CAST(1 AS INTEGER) AS h, ts, y, round(a + phi * last, 4) AS yhat,
+               round(sqrt((syy - sxy * sxy / sxx) / (e - 3)), 4) AS sigma
+        FROM p JOIN m ON m.event_type = p.event_type AND m.e = p.pos WHERE p.pos >= 10"""
+)
+def cv_ar_running(spark, sf_dir):
+    """A first-order autoregression at every cutoff, from running lag moments."""
+    folds = expanding_folds(initial_window=10)
+    return rounded(cv_predictions(AR1(), by_type(spark, sf_dir), folds, spread=True), "yhat", "sigma", digits=4)
+
+
+_LEVELS = ", ".join(f"{{'a': {i / 100}, 'z': {NormalDist().inv_cdf(i / 100)!r}}}" for i in range(1, 100))
+_Z = NormalDist().inv_cdf(0.95)
+
+
+def _normal_sql(cte: str, rows: str) -> str:
+    """Scores of rows (event_type, fold, y, mu, sigma)."""
+    loss = lambda a, z: f"greatest({a} * (y - mu - {z} * sigma), ({a} - 1) * (y - mu - {z} * sigma))"
+    return f"""WITH RECURSIVE {cte}, f AS ({rows})
+        SELECT event_type, fold, avg(CAST(abs(y - mu) <= {_Z!r} * sigma AS DOUBLE)) AS coverage,
+          round(avg(({loss(0.05, -_Z)} + {loss(0.95, _Z)}) / 2), 5) AS pinball,
+          round(avg(2 * list_sum(list_transform([{_LEVELS}], lambda g: {loss("g.a", "g.z")})) / 99), 5) AS crps
+        FROM f GROUP BY 1, 2"""
+
+
+_LAST_ROWS = """SELECT event_type, pos - 10 AS fold, y, mu, sqrt(sse / (pos - 1)) AS sigma FROM (
+    SELECT event_type, pos, y, lag(y) OVER w AS mu, sum(d * d) OVER (PARTITION BY event_type ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sse
+    FROM (SELECT *, y - lag(y) OVER (PARTITION BY event_type ORDER BY pos) AS d FROM p)
+    WINDOW w AS (PARTITION BY event_type ORDER BY pos)) WHERE pos >= 10"""
+
+
+def _normal_scores(spark, sf_dir, model):
+    folds, names = expanding_folds(initial_window=10), ["coverage", "pinball", "crps"]
+    scores, _ = evaluate(model, by_type(spark, sf_dir), folds, names)
+    return rounded(scores, "pinball", "crps", digits=5)
+
+
+@query(_normal_sql(TYPE_POS, _LAST_ROWS))
+def evaluate_crps(spark, sf_dir):
+    """Interval, quantile and distribution scores of every fold of the last value."""
+    return _normal_scores(spark, sf_dir, NaiveLast())
+
+
+@query(
+    _normal_sql(
+        _SMOOTH,
+        """SELECT p.event_type, p.pos - 10 AS fold, y, level AS mu, sqrt(sse / (p.pos - 1)) AS sigma
+           FROM p JOIN b ON b.event_type = p.event_type AND b.pos = p.pos - 1 WHERE p.pos >= 10""",
+    )
+)
+def evaluate_crps_smoothing(spark, sf_dir):
+    return _normal_scores(spark, sf_dir, SES())
