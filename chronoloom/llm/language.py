@@ -1,6 +1,6 @@
 """Language identification by multinomial naive Bayes over hashed character n-grams.
 
-Runs of one to `order` bytes of the lower-case text, with everything that is no letter as one
+Runs of one to `order` characters of the lower-case text, with everything that is no letter as one
 space, are hashed to `buckets` columns. Spark counts them by language over the training rows; the
 matrix of log-probabilities, languages by buckets, is broadcast. A batch of texts is scored as a
 sparse product in numpy: each text's hashed runs pick their columns, which are added up by text.
@@ -8,16 +8,15 @@ sparse product in numpy: each text's hashed runs pick their columns, which are a
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.text import U
+from chronoloom.llm.text import sampled
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"\P{L}+")
 ORDER, BUCKETS = 3, 1 << 15
 PART = 1_000_000
 UNKNOWN = "und"
@@ -26,13 +25,13 @@ UNKNOWN = "und"
 def hashed_runs(texts: list[str | None], order: int, buckets: int):
     """For each order the bucket of every run and the first run of each text; whether it has a letter."""
     plain = [_NO_LETTER.sub(" ", (t or "").lower()).strip() for t in texts]
-    raw = [b" " + p.encode() + b" " if p else b"" for p in plain]
+    raw = [f" {p} " if p else "" for p in plain]
     sizes = np.array([len(r) for r in raw], np.int64)
-    buf = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    buf = np.frombuffer("".join(raw).encode("utf-32-le"), "<u4").astype(np.uint32)
     ends = np.cumsum(sizes)
     out, value = [], np.zeros(len(buf), np.uint32)
     for k in range(1, order + 1):
-        value = (value[: len(buf) - k + 1] << np.uint32(8)) | buf[k - 1 :] if k > 1 else buf
+        value = value[: max(0, len(buf) - k + 1)] * np.uint32(0x01000193) + buf[k - 1 :] if k > 1 else buf
         h = (value + np.uint32(k)) * np.uint32(0x9E3779B1)
         # Runs over the border of two texts belong to none: they get the last bucket, weight 0.
         column = ((h >> np.uint32(7)) % np.uint32(buckets)).astype(np.int32)
@@ -106,13 +105,14 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train:
     """Model from about `max_train` labelled rows outside the held-out fold, whole texts."""
     use = docs.filter((F.crc32(F.col(id_col).cast("string")) % 4 != 2) & F.col(lang_col).isNotNull())
     n = use.filter(F.col(text_col).isNotNull()).count()
-    share = int(min(1.0, max_train / max(1, n)) * 1_000_000)
-    use = use.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share)
+    use = use.filter(sampled(n, max_train, id_col, text_col))
     use = use.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).dropna()
     rows = use.mapInArrow(_counts(order, buckets), "lang string, bucket int, n bigint")
     cells = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # languages x buckets at most
     priors = {r.lang: r["count"] for r in use.groupBy("lang").count().collect()}
     langs = sorted(priors)
+    if n and not langs:
+        raise ValueError(f"None of {n} labelled rows was taken to learn from")
     counts = np.zeros((len(langs), buckets))
     where = {x: i for i, x in enumerate(langs)}
     for r in cells:

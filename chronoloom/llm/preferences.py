@@ -23,28 +23,30 @@ def render(role: Column, text: Column) -> Column:
 
 
 def _turns(turns: DataFrame, name: str) -> DataFrame:
-    """One row for each turn number; of several the least by role and text."""
-    best = turns.filter("pair_id is not null and turn is not null").groupBy("pair_id", "turn")
-    return best.agg(F.min(F.struct("role", "text")).alias(name))
+    """Turns that share a number are told apart by their place in order of role and text."""
+    rows = turns.filter("pair_id is not null and turn is not null")
+    order = Window.partitionBy("pair_id", "turn").orderBy("role", "text")
+    return rows.select("pair_id", "turn", F.row_number().over(order).alias("nr"), F.struct("role", "text").alias(name))
 
 
 def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     """(pair_id, part, turn, rendered, trained) from turns (pair_id, turn, role, text) of both sides.
 
-    Turns are equal if role and text are, nulls included; a null renders as empty. Turns without
+    Turns are equal if role and text are, nulls included; a null renders as empty. Turns that share
+    a number follow each other by role and text. An empty table gives no rows. Turns without
     a pair or number are left out, and so are pairs that are on one side only. If the sides do not
     differ, all is prompt. Columns other than the four are ignored.
     """
     a, b = _turns(chosen, CHOSEN), _turns(rejected, REJECTED)
-    both = a.join(b, ["pair_id", "turn"], "full")
+    both = a.join(b, ["pair_id", "turn", "nr"], "full").withColumn("place", F.struct("turn", "nr"))
     differs = ~F.col(CHOSEN).eqNullSafe(F.col(REJECTED))
     sides = both.groupBy("pair_id").agg(
-        F.min(F.when(differs, F.col("turn"))).alias("first"),
+        F.min(F.when(differs, F.col("place"))).alias("first"),
         F.count(CHOSEN).alias("a"),
         F.count(REJECTED).alias("b"),
     )
     both = both.join(sides.filter("a > 0 and b > 0").select("pair_id", "first"), "pair_id")
-    shared = F.col("first").isNull() | (F.col("turn") < F.col("first"))
+    shared = F.col("first").isNull() | (F.col("place") < F.col("first"))
     part = lambda name, side: F.when(F.col(side).isNotNull(), F.struct(F.lit(name).alias("part"), F.col(side).alias("side")))
     parts = F.when(shared, F.array(part(PROMPT, CHOSEN))).otherwise(
         F.array(part(CHOSEN, CHOSEN), part(REJECTED, REJECTED))

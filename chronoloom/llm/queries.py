@@ -171,8 +171,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PREFERENCES_SQL = """
 WITH l AS (
-  SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-p AS (SELECT l.conv_id, l.last, o.answer AS other FROM l JOIN l o ON o.conv_id = l.conv_id + 1),
+  SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer FROM conversations
+  WHERE role = 'assistant' AND conv_id IS NOT NULL GROUP BY conv_id),
+p AS (
+  SELECT conv_id, last, CASE WHEN lead(conv_id) OVER w IS NULL THEN first_value(answer) OVER w ELSE lead(answer) OVER w END AS other
+  FROM l WHERE (SELECT count(*) FROM l) > 1 WINDOW w AS (ORDER BY conv_id)),
 t AS (
   SELECT conv_id AS pair_id, turn, role, text AS a,
     CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END AS b
@@ -190,9 +193,9 @@ FROM r"""
 
 @query(sql=PREFERENCES_SQL)
 def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt and completions of every conversation, against its neighbour's last answer."""
+    """Prompt and completions of every conversation that has an answer, against the next one's last answer."""
     turns = table(spark, sf_dir, "conversations")
-    return preferences.format_pairs(*preferences.swapped_pairs(turns))
+    return preferences.format_pairs(*preferences.neighbour_pairs(turns))
 
 
 @query

@@ -11,6 +11,8 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 U = np.uint64
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93)
@@ -114,6 +116,13 @@ class Texts:
         return np.repeat(np.arange(self.n), np.diff(self.first))
 
 
+def sampled(n: int, most: int, *columns: str) -> Column:
+    """Condition that about `most` of `n` rows meet, by a hash of the columns; all if there are no more."""
+    if n <= most:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit((most << 64) // n - (1 << 63))
+
+
 def ngrams(h: np.ndarray, first: np.ndarray, k: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Start index and hash of each run of k words that lies within one text."""
     if len(h) < k:

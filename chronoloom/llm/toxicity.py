@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoloom.llm.text import sampled
+
 # Fixed values.
 INSULTS = "idiot moron stupid loser scum trash pathetic worthless disgusting clown dumb fool imbecile".split()
 THREATS = "kill hurt destroy punch shoot stab strangle burn töten umbringen tuer frapper matar golpear".split()
@@ -145,11 +147,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_tr
     use = labels.select(F.col(id_col).alias("id"), F.col("toxic").alias("y")).dropna()
     use = use.filter(F.crc32(F.col("id").cast("string")) % 3 != 1)
     n = use.count()
-    # A hash of the id takes each with the same chance; the share keeps the expected number in bounds.
-    share = min(1.0, max_train / max(1, n))
-    use = use.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # A hash of the id takes each with the same chance; of equal ids one label and one text.
+    use = use.filter(sampled(n, max_train, "id")).groupBy("id").agg(F.max("y").alias("y"))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    train = text.join(F.broadcast(use), "id").select("y", F.lower("text").alias("text")).dropna()
+    train = text.join(F.broadcast(use), "id").dropna().groupBy("id", "y").agg(F.min("text").alias("text"))
+    train = train.select("y", F.lower("text").alias("text"))
     words = F.array_distinct(F.split("text", r"[^\p{L}]+"))
     stems = F.transform(F.filter(words, lambda w: F.length(w) >= STEM), lambda w: F.concat(F.left(w, F.lit(STEM)), F.lit("*")))
     counts = (
@@ -158,6 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_tr
         .agg(F.sum("y").alias("t"), F.count(F.lit(1)).alias("n"))
     )
     total = train.agg(F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    if n > max_train and not total.n:
+        raise ValueError(f"No document of {n} labelled ones was taken to learn from")
     toxic, rest = total.t or 0, total.n - (total.t or 0)
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (rest + 1))
     top = counts.filter("t >= 5 and length(w) > 2").withColumn("x", odds).filter("x > 2.5")
@@ -197,7 +201,7 @@ def score(
     """Per document held_out, score (0 to 1), predicted, and what the grammar found.
 
     Labels are used only from rows whose crc32 of the id as text is not 1 modulo 3. The score
-    depends on the text alone. Null and empty texts are scored like a text without a match;
+    depends on the text alone; of labels or documents with equal ids one is learned from. Null and empty texts are scored like a text without a match;
     without labels of both kinds a fixed curve is used. Ids may be null or repeated.
     """
     learned, curve = learn(docs, labels, id_col, text_col, max_train, lexicon)

@@ -228,7 +228,7 @@ def test_preferences(spark):
     b = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "b", "x"), (2, 0, "user", None, "x"), (2, 1, "assistant", "more", "x")]
     got = found(preferences.format_pairs(spark.createDataFrame(a, cols), spark.createDataFrame(b, cols)))
     assert [(p, part, t, trained) for p, part, t, _, trained in got] == [
-        (1, "chosen", 1, True), (1, "chosen", 2, False), (1, "prompt", 0, False), (1, "rejected", 1, True),
+        (1, "chosen", 1, True), (1, "chosen", 2, False), (1, "chosen", 2, False), (1, "prompt", 0, False), (1, "rejected", 1, True),
         (2, "prompt", 0, False), (2, "rejected", 1, True),
     ]
     assert got[1][3] == "<|user|>\nu<|end|>\n"
@@ -350,3 +350,38 @@ def test_words_that_polynomials_do_not_tell_apart(spark):
     want = [(i, n, r, plain.sha(" ".join(k))) for i, n, r, k in plain.passages(rows)]
     assert found(debruijn.digest(debruijn.dedup_passages(df))) == want and want[1][2] == 0
     assert found(jaccard_join.link_documents(df)) == sorted((i, *g) for i, g in plain.jaccard(rows).items())
+
+
+def test_no_letters_no_language(spark):
+    rows = [(i, t, "es") for i, t in enumerate(["hola que tal", "² ½ ①", "12_3 !?", "١٢", "ª", "ñ"] * 4)]
+    got = language.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {rows[r.doc_id][1]: r.lang_pred for r in got} == {
+        "hola que tal": "es", "² ½ ①": "und", "12_3 !?": "und", "١٢": "und", "ª": "es", "ñ": "es"
+    }
+
+
+def test_language_scores_are_plain_bayes():
+    texts = {"a": ["aab ab", "ba é"], "b": ["ccd", "cd dc é"]}
+    counts = np.zeros((2, 64))
+    for i, ts in enumerate(texts.values()):
+        for columns in language.hashed_runs(ts, 2, 64)[0]:
+            counts[i] += np.bincount(columns, minlength=65)[:64]
+    model = language.Model(["a", "b"], np.array([3.0, 1.0]), counts, 2)
+    for t in ("ab", "dc", "é", "abcd ab"):
+        logs = np.log([0.75, 0.25])
+        for i in range(2):
+            p = (counts[i] + 0.5) / (counts[i] + 0.5).sum()
+            logs[i] += sum(np.log(p[c]) for columns in language.hashed_runs([t], 2, 64)[0] for c in columns if c < 64)
+        share = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
+        ((lang, score),) = model.score([t])
+        assert lang == "ab"[int(share.argmax())] and abs(score - share.max()) < 1e-4
+
+
+def test_samples_of_any_size(spark):
+    from chronoloom.llm.text import sampled
+
+    ids = spark.range(200_000)
+    for n in (200_000, 10**12, 10**15, 10**18):
+        most = 50_000 if n == 200_000 else n // 4
+        assert abs(ids.filter(sampled(n, most, "id")).count() - 50_000) < 2_000
+    assert ids.filter(sampled(10**15, 20_000, "id")).count() <= 1
