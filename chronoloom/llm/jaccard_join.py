@@ -154,12 +154,15 @@ def _read(table: pa.Table, words: int) -> tuple[Sets, np.ndarray, np.ndarray]:
     return sets, names, np.sort(first[sets.sizes[first] > 0])
 
 
+def _asked(files: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Keys of files, even, as a lonely file that is asked for in vain does no harm, and of names, odd."""
+    return np.concatenate((files & ~U(1), mix(names) | U(1)))
+
+
 def _keys(words: int, scheme: Scheme):
     def fn(table: pa.Table) -> np.ndarray:
         sets, names, first = _read(table, words)
-        keys = sets.pick(first).files(scheme)[1]
-        # Twice, so that a set counts as repeated where its documents are.
-        return np.concatenate((keys, mix(names[sets.sizes > 0])))
+        return _asked(sets.pick(first).files(scheme)[1], names[first])
 
     return fn
 
@@ -170,7 +173,7 @@ def _filed(words: int, scheme: Scheme, answering: int):
     def fn(table: pa.Table, answers: pa.Table) -> pa.Table:
         sets, names, first = _read(table, words)
         owner, keys, marks = sets.pick(first).files(scheme)
-        flags = read_answers(np.concatenate((keys, mix(names[first]))), answers, answering)
+        flags = read_answers(_asked(keys, names[first]), answers, answering)
         shared, mine = flags[0][: len(keys)], flags[1][len(keys) :]
         use = shared & mine[owner]
         nodes, keys, marks = names[first[owner[use]]], keys[use], marks[use]
@@ -377,7 +380,7 @@ def _verified(
             census[b] = census.get(b, 0) + r["count"]
     scheme = Scheme(percent, census)
     id_type = docs.schema[id_col].dataType.simpleString()
-    answers, answering = ask_repeated(buckets, _keys(words, scheme), 24)
+    answers, answering = ask_repeated(buckets, _keys(words, scheme), 24, short=True)
     rows = written(
         bucket_map(
             buckets, answers, _filed(words, scheme, answering),

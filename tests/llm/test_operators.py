@@ -4,12 +4,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from chronoloom.llm import (
     debruijn,
     decontaminate,
+    exchange,
     jaccard_join,
     language,
     licenses,
@@ -385,3 +387,23 @@ def test_samples_of_any_size(spark):
         most = 50_000 if n == 200_000 else n // 4
         assert abs(ids.filter(sampled(n, most, "id")).count() - 50_000) < 2_000
     assert ids.filter(sampled(10**15, 20_000, "id")).count() <= 1
+
+
+def test_short_keys_tell_whole_ones_apart():
+    """Even keys with equal lower halves count as one key, odd ones never do."""
+    keys = np.sort(np.array([(a << 32) | b for a in range(4) for b in (2, 3, 4 + 2 * a, 5 + 2 * a)], np.uint64))
+    assert exchange._unpack(exchange._pack(keys, False), len(keys), False).tolist() == keys.tolist()
+    table = pa.table(
+        {
+            "target": pa.array([0, 0], pa.int32()),
+            exchange.BUCKET: pa.array([1, 0], pa.int32()),
+            "keys": [exchange._pack(keys[8:], True), exchange._pack(keys[:8], True)],
+            "counts": [np.ones(8, "u1").tobytes()] * 2,
+        }
+    )
+    answers = exchange._answer(1 << 62, "u1", True)(table)
+    for bucket, mine in ((0, keys[:8]), (1, keys[8:])):
+        flags = exchange.read_answers(mine, answers.filter(pa.array([b == bucket for b in (0, 1)])), 1)
+        twos, odd = (mine & np.uint64(0xFFFFFFFF)) == 2, (mine & np.uint64(1)) == 1
+        assert flags[0].tolist() == twos.tolist()  # said to be repeated: only the even ones that look alike
+        assert flags[1][odd].all() and flags[1][twos].sum() == (bucket == 0)
