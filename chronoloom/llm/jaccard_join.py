@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.llm.components import components
-from chronoloom.llm.exchange import BUCKET, Buckets, ask_repeated, bucket_map, read_answers, text_bytes, written
+from chronoloom.llm.exchange import BUCKET, PAGE, Buckets, ask_repeated, bucket_map, read_answers, text_bytes, written
 from chronoloom.llm.text import Texts, U, give_back, mix, ngrams, runs_hash
 
 LIMIT = 8 << 20
@@ -199,23 +199,18 @@ def _filed(words: int, scheme: Scheme, answering: int):
     return fn
 
 
-def _sets_of(words: int):
-    """Token sets of the chosen rows."""
+def _texts_of(table: pa.Table, chosen: pa.Table) -> pa.Table:
+    """Texts of the chosen rows; they are smaller than their tokens, which hashes make incompressible."""
+    texts = table.take(chosen.column("row").combine_chunks()).column("text").cast(pa.binary())
+    return pa.table({**{c: chosen.column(c) for c in ("component", "node", "blocks")}, "text": texts})
 
-    def fn(table: pa.Table, chosen: pa.Table) -> pa.Table:
-        row = chosen.column("row").to_numpy()
-        sets = Sets.of_texts(Texts(text_bytes(table.take(pa.array(row)))).lower().find_words(), words)
-        packs = [sets.tokens[a:b].tobytes() for a, b in zip(sets.offs[:-1], sets.offs[1:])]
-        return pa.table(
-            {
-                "component": chosen.column("component"),
-                "node": chosen.column("node"),
-                "blocks": chosen.column("blocks"),
-                "tokens": pa.array(packs, pa.binary()),
-            }
-        )
 
-    return fn
+def _sets_of(texts: list[bytes], words: int) -> Sets:
+    """Token sets of the texts, made from about `PAGE` bytes at a time."""
+    page = np.cumsum([len(t) for t in texts]) // PAGE
+    cut = [0, *(np.flatnonzero(np.diff(page)) + 1).tolist(), len(texts)]
+    parts = [Sets.of_texts(Texts(texts[a:b]).lower().find_words(), words) for a, b in zip(cut, cut[1:])]
+    return Sets(np.concatenate([p.tokens for p in parts]), np.concatenate([p.sizes for p in parts]))
 
 
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -295,7 +290,7 @@ def link(sets: Sets, scheme: Scheme, side: np.ndarray | None = None, links: list
     return _roots(root, np.arange(n))
 
 
-def _verify(scheme: Scheme, every: bool):
+def _verify(scheme: Scheme, words: int, every: bool):
     """(node, other node it belongs with) for the sets of some candidate components.
 
     With `every`, all linked pairs; else enough of them to connect what is linked.
@@ -304,7 +299,7 @@ def _verify(scheme: Scheme, every: bool):
     def fn(table: pa.Table) -> pa.Table:
         comp = table.column("component").to_numpy()
         node = table.column("node").to_numpy()
-        packs = table.column("tokens").to_pylist()
+        all_sets = _sets_of(table.column("text").to_pylist(), words)
         block = table.column("block").to_numpy()
         blocks = table.column("blocks").to_numpy()
         pair = table.column("pair").to_numpy()
@@ -312,8 +307,7 @@ def _verify(scheme: Scheme, every: bool):
         by = np.lexsort((node, pair, comp))
         cut = np.flatnonzero(np.concatenate(([True], np.diff(comp[by]) != 0)) | np.concatenate(([True], np.diff(pair[by]) != 0)))
         for group in np.split(by, cut[1:]):
-            sizes = np.array([len(packs[i]) // 8 for i in group])
-            sets = Sets(np.frombuffer(b"".join(packs[i] for i in group), U), sizes)
+            sets = all_sets.pick(group)
             # Sets of one block meet where it is paired with itself, and nowhere else.
             low, high = divmod(int(pair[group[0]]), int(blocks[group[0]]))
             links: list | None = [] if every else None
@@ -396,8 +390,8 @@ def _verified(
     chosen = written(chosen.join(blocks, "component"), "chosen")
     total = chosen.agg(F.sum("size").alias("s"), F.max("blocks").alias("b")).first()
     sets = bucket_map(
-        buckets, chosen.select(BUCKET, "row", "component", "node", "blocks"), _sets_of(words),
-        "component bigint, node bigint, blocks int, tokens binary",
+        buckets, chosen.select(BUCKET, "row", "component", "node", "blocks"), _texts_of,
+        "component bigint, node bigint, blocks int, text binary",
     )
     bundles = max(1, math.ceil((total.s or 0) * 8 / (4 << 20)))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -411,7 +405,7 @@ def _verified(
             F.pmod(F.xxhash64("component"), F.lit(bundles))
         ),
     )
-    found = dealt.groupBy("bundle").applyInArrow(_verify(scheme, every), "u bigint, v bigint")
+    found = dealt.groupBy("bundle").applyInArrow(_verify(scheme, words, every), "u bigint, v bigint")
     return buckets, docs_rows, found, total.b or 0
 
 
