@@ -135,19 +135,38 @@ class Forecaster:
         return self.distribution(params, horizon).select(*keys_of(params), "ts", "h", *cols)
 
     def merged(self) -> dict[str, Column]:
-        """Model columns of an updated table from `o` (old) and `m` (new) structs."""
+        """Model columns of an updated table from `o` (old) and `m` (new) structs.
+
+        With an `sse` among them, a table fitted with residuals keeps its residual columns.
+        """
         raise NotImplementedError(f"{type(self).__name__} cannot be updated; fit it again")
 
+    def check_later(self, params: DataFrame, new: TimeSeriesFrame) -> None:
+        """Raises unless there are new rows and all are later than what their series was fitted on."""
+        keys = keys_of(params)
+        ends = params.select(*keys, F.col("cutoff").alias("__end"))
+        times = new.df.select(*keys, F.col(new.time).alias("__at"))
+        late = F.coalesce(F.col("__at") > F.col("__end"), F.lit(True))
+        found = null_safe_join(times, ends, keys, "left").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~late).alias("early")
+        ).first()
+        if not found.n:
+            raise ValueError("update needs new rows")
+        if found.early:
+            raise ValueError(f"update needs later rows; {found.early} are not after the cutoff of their series")
+
     def update(self, params: DataFrame, new: TimeSeriesFrame) -> DataFrame:
         """Parameters after more rows, without the old rows.
 
         The old table is not touched, so a failed update leaves it as it was. Series
-        only in one of the two sides are kept. Residual columns are not carried over.
+        only in one of the two sides are kept. Rows that are not later than the cutoff of their
+        series are refused. Residual columns are carried over where the state has all they need.
         """
-        if new.df.isEmpty():
-            raise ValueError("update needs new rows")
+        self.check_later(params, new)
         keys = keys_of(params)
-        late = self.fit(new)
+        merged = self.merged()
+        spread = "sse" in params.columns and "sse" in merged
+        late = self.fit(new, residuals=spread)
         old = params.select(*keys, F.struct(*[c for c in params.columns if c not in keys]).alias("o"))
         add = late.select(*keys, F.struct(*[c for c in late.columns if c not in keys]).alias("m"))
         renamed = add.select(*[F.col(k).alias(f"__{k}") for k in keys], "m")
@@ -162,11 +181,15 @@ class Forecaster:
             "step": one_side(F.col("o.step"), F.col("m.step")),
             "n": F.coalesce("o.n", F.lit(0)) + F.coalesce("m.n", F.lit(0)),
         }
+        if spread:
+            merged["dof"] = self.dof(fixed["n"]).cast("bigint")
+        else:
+            merged.pop("sse", None)
         out = []
-        for name, merged in {**fixed, **self.merged()}.items():
+        for name, value in {**fixed, **merged}.items():
             known_both = F.col("o").isNotNull() & F.col("m").isNotNull()
             alone = one_side(F.col(f"o.{name}"), F.col(f"m.{name}"))
-            out.append(F.when(known_both, merged).otherwise(alone).alias(name))
+            out.append(F.when(known_both, value).otherwise(alone).alias(name))
         owner = F.col("o").isNotNull()
         return both.select(
             *[F.when(owner, F.col(k)).otherwise(F.col(f"__{k}")).alias(k) for k in keys], *out

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.forecast.base import DEFAULT_HORIZON, Forecaster, future, keys_of
 from chronoloom.forecast.running import ahead, sigma, smoothed
+from chronoloom.forecast.trend import Trend
 from chronoloom.frame import TimeSeriesFrame
 from chronoloom.functions.ordered import CHUNK, attach, chunked, head_rows, null_safe_join, positions, running
 
@@ -25,7 +26,11 @@ ALPHAS = tuple(i / 10 for i in range(1, 10))
 
 
 class SES(Forecaster):
-    """Simple smoothing from the first value on; alpha given, or the grid's least error."""
+    """Simple smoothing from the first value on; alpha given, or the grid's least error.
+
+    The table keeps level and error of every weight (`states`), so that an update goes on from
+    there with the new rows only and chooses among the weights anew.
+    """
 
     def __init__(self, alpha: float | None = None, grid: tuple[float, ...] = ALPHAS):
         self.grid = (float(alpha),) if alpha is not None else tuple(float(a) for a in grid)
@@ -33,6 +38,23 @@ class SES(Forecaster):
             raise ValueError("alpha must lie in (0, 1]")
 
     def fit(self, tsf, residuals=False):
+        series, alphas = self._chunks(tsf), F.array(*[F.lit(a) for a in self.grid])
+        fits = F.transform(
+            F.sequence(F.lit(0), F.lit(len(self.grid) - 1)),
+            lambda i: _ses_compose("chunks", F.col("first"), F.lit(0.0), i, F.get(alphas, i)),
+        )
+        return self._chosen(series.withColumn("states", fits).withColumn("step", tsf.step.columns()), tsf.keys)
+
+    def _chosen(self, fitted: DataFrame, keys: list[str]) -> DataFrame:
+        out = fitted.withColumn("best", F.array_min("states"))
+        return out.select(
+            *keys, "cutoff", "step", "n",
+            F.col("best.alpha").alias("alpha"), F.col("best.level").alias("level"),
+            F.col("best.sse").alias("sse"), (F.col("n") - 1).alias("dof"), "states",
+        )
+
+    def _chunks(self, tsf: TimeSeriesFrame) -> DataFrame:
+        """A row for each series with the maps of its chunks in order."""
         known = tsf.with_df(tsf.df.where(tsf.y.isNotNull()))
         per_chunk = chunked(known).groupBy(*tsf.keys, CHUNK).agg(
             F.max(tsf.time).alias("cutoff"),
@@ -42,23 +64,12 @@ class SES(Forecaster):
         )
         alphas = F.array(*[F.lit(a) for a in self.grid])
         maps = per_chunk.withColumn("maps", F.transform(alphas, lambda a: _ses_map("ys", F.col("first"), a)))
-        series = maps.groupBy(*tsf.keys).agg(
+        return maps.groupBy(*tsf.keys).agg(
             F.max("cutoff").alias("cutoff"),
             F.sum("n").alias("n"),
             F.min_by("first", CHUNK).alias("first"),
             F.array_sort(F.collect_list(F.struct(CHUNK, F.col("first").alias("base"), "maps"))).alias("chunks"),
         )
-        fits = F.transform(
-            F.sequence(F.lit(0), F.lit(len(self.grid) - 1)),
-            lambda i: _ses_compose("chunks", F.col("first"), i, F.get(alphas, i)),
-        )
-        best = F.array_min(fits)
-        out = series.withColumn("best", best).withColumn("step", tsf.step.columns())
-        return out.select(
-            *tsf.keys, "cutoff", "step", "n",
-            F.col("best.alpha").alias("alpha"), F.col("best.level").alias("level"),
-            F.col("best.sse").alias("sse"), (F.col("n") - 1).alias("dof"),
-        )
 
     def point(self):
         return F.col("level")
@@ -66,8 +77,28 @@ class SES(Forecaster):
     def spread(self):
         return 1 + (F.col("h") - 1) * F.col("alpha") * F.col("alpha")
 
-    def merged(self):
-        raise NotImplementedError("Smoothers weigh the whole past; fit again")
+    def update(self, params, new):
+        """As if fitted on old and new rows together; the old levels are carried on."""
+        self.check_later(params, new)
+        keys = keys_of(params)
+        old = params.select(*keys, F.struct(*[c for c in params.columns if c not in keys]).alias("o"))
+        late = self._chunks(new).withColumn("__step", new.step.columns())
+        both = null_safe_join(old, late, keys, "left")
+        fresh = null_safe_join(late, old, keys, "left_anti").withColumn("o", F.lit(None).cast(old.schema["o"].dataType))
+        both = both.unionByName(fresh)
+        alphas = F.array(*[F.lit(a) for a in self.grid])
+        going_on = lambda i: _ses_compose(
+            "chunks", F.coalesce(F.get("o.states", i)["level"], F.col("first").cast("double")),
+            F.coalesce(F.get("o.states", i)["sse"], F.lit(0.0)), i, F.get(alphas, i),
+        )
+        after = F.transform(F.sequence(F.lit(0), F.lit(len(self.grid) - 1)), going_on)
+        states = both.select(
+            *keys,
+            F.coalesce("cutoff", "o.cutoff").alias("cutoff"), F.coalesce("o.step", "__step").alias("step"),
+            (F.coalesce("n", F.lit(0)) + F.coalesce("o.n", F.lit(0))).alias("n"),
+            F.when(F.col("chunks").isNull(), F.col("o.states")).otherwise(after).alias("states"),
+        )
+        return self._chosen(states, keys)
 
     def rolling_normal(self, tsf, fh, window):
         if window:
@@ -109,8 +140,8 @@ def _ses_map(ys: str, base: Column, alpha: Column) -> Column:
     return F.aggregate(F.col(ys), start, step)
 
 
-def _ses_compose(chunks: str, first: Column, i: Column, alpha: Column) -> Column:
-    start = F.struct(first.alias("level"), F.lit(0.0).alias("sse"))
+def _ses_compose(chunks: str, first: Column, error: Column, i: Column, alpha: Column) -> Column:
+    start = F.struct(first.cast("double").alias("level"), error.alias("sse"))
 
     def step(s, chunk):
         m, level = F.get(chunk["maps"], i), s["level"] - chunk["base"]
@@ -136,10 +167,15 @@ class Theta(Forecaster):
         self.ses = SES(alpha, grid)
 
     def fit(self, tsf, residuals=False):
-        known = tsf.with_df(tsf.df.where(tsf.y.isNotNull()))
-        x = positions(known, "__pos", None).df
-        slopes = x.groupBy(*tsf.keys).agg(F.regr_slope(tsf.y, F.col("__pos")).alias("slope"))
-        return null_safe_join(self.ses.fit(tsf), slopes, tsf.keys)
+        line = Trend().fit(tsf).drop("cutoff", "step", "n")
+        return null_safe_join(self.ses.fit(tsf), line, tsf.keys)
+
+    def update(self, params, new):
+        keys, line = keys_of(params), Trend()
+        fixed = [*keys, "cutoff", "step", "n"]
+        of_line = [c for c in params.columns if c not in (*fixed, "alpha", "level", "sse", "dof", "states")]
+        level = self.ses.update(params.drop(*of_line), new)
+        return null_safe_join(level, line.update(params.select(*fixed, *of_line), new).drop("cutoff", "step", "n"), keys)
 
     def point(self):
         a, n = F.col("alpha"), F.col("n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,7 @@ class Trend(Forecaster):
         return {
             "mean_x": mean_x, "mean_y": mean_y, "sxx": sxx, "sxy": sxy, "syy": syy,
             "slope": slope, "intercept": mean_y - slope * mean_x,
+            "sse": syy - sxy * sxy / F.nullif(sxx, F.lit(0.0)),
         }
 
     def rolling(self, tsf, fh, window):
@@ -182,8 +183,34 @@ class TrendExog(Forecaster):
         return out.select(*keys, "ts", "h", value.alias("yhat"))
 
 
+def _pooled(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
+    """Moments of the pairs of both; either may have none."""
+    n = a["pairs"] + b["pairs"]
+    share = b["pairs"] / F.nullif(n, F.lit(0))
+    none = F.lit(0.0)
+    m = [{c: F.coalesce(s[c], none) for c in _MOMENTS} for s in (a, b)]
+    # A side without pairs has no mean of its own, so it takes that of the other.
+    at = [{c: F.coalesce(s[c], t[c]) for c in ("mean_x", "mean_y")} for s, t in ((a, b), (b, a))]
+    dx, dy = at[1]["mean_x"] - at[0]["mean_x"], at[1]["mean_y"] - at[0]["mean_y"]
+    w = a["pairs"] * share
+    return {
+        "pairs": n,
+        "mean_x": at[0]["mean_x"] + dx * share, "mean_y": at[0]["mean_y"] + dy * share,
+        "sxx": m[0]["sxx"] + m[1]["sxx"] + F.coalesce(dx * dx * w, none),
+        "sxy": m[0]["sxy"] + m[1]["sxy"] + F.coalesce(dx * dy * w, none),
+        "syy": m[0]["syy"] + m[1]["syy"] + F.coalesce(dy * dy * w, none),
+    }
+
+
+_MOMENTS = ("sxx", "sxy", "syy")
+
+
 class AR1(Forecaster):
-    """y(t) = a + phi y(t-1) by least squares per series, iterated ahead."""
+    """y(t) = a + phi y(t-1) by least squares per series, iterated ahead.
+
+    The table keeps the moments of the pairs (y(t-1), y(t)) with the first and last value, so
+    that an update adds the new pairs and the one across the border.
+    """
 
     def rows(self, tsf, residuals):
         return lagged(tsf, {"__lag": (tsf.target, 1)}).df
@@ -193,7 +220,12 @@ class AR1(Forecaster):
             "last": F.max_by(tsf.y, tsf.ts),
             "phi": F.regr_slope(tsf.y, F.col("__lag")),
             "a": F.regr_intercept(tsf.y, F.col("__lag")),
-        }
+            "first": F.min_by(tsf.y, tsf.ts),
+            "pairs": F.regr_count(tsf.y, F.col("__lag")),
+            "mean_x": F.regr_avgx(tsf.y, F.col("__lag")), "mean_y": F.regr_avgy(tsf.y, F.col("__lag")),
+            "sxx": F.regr_sxx(tsf.y, F.col("__lag")), "sxy": F.regr_sxy(tsf.y, F.col("__lag")),
+            "syy": F.regr_syy(tsf.y, F.col("__lag")),
+        }
 
     def sse(self, tsf):
         y, x = tsf.y, F.col("__lag")
@@ -203,6 +235,21 @@ class AR1(Forecaster):
     def dof(self, n):
         return n - 3
 
+    def merged(self):
+        none = F.lit(0.0)
+        sides = [{c: F.col(f"{s}.{c}") for c in ("pairs", "mean_x", "mean_y", *_MOMENTS)} for s in "om"]
+        border = {
+            "pairs": F.lit(1).cast("bigint"), "mean_x": F.col("o.last").cast("double"),
+            "mean_y": F.col("m.first").cast("double"), **{c: none for c in _MOMENTS},
+        }
+        all_ = _pooled(_pooled(sides[0], border), sides[1])
+        phi = all_["sxy"] / F.nullif(all_["sxx"], none)
+        return {
+            "last": F.col("m.last"), "phi": phi, "a": all_["mean_y"] - phi * all_["mean_x"],
+            "first": F.col("o.first"), **all_,
+            "sse": all_["syy"] - all_["sxy"] * all_["sxy"] / F.nullif(all_["sxx"], none),
+        }
+
     def point(self):
         phi, h = F.col("phi"), F.col("h")
         grown = F.when(phi == 1.0, h.cast("double")).otherwise(

@@ -20,7 +20,7 @@ from chronoloom.plans.panels import (
     PRIORITY_POS, STATUS_POS, TYPE_POS, by_priority, by_status,
     by_type,
 )
-from chronoloom.plans.registry import query, rounded
+from chronoloom.plans.registry import ORACLE, query, rounded
 from chronoloom.shared import shared_dir
 
 H = 12
@@ -319,6 +319,37 @@ def update_seasonal(spark, sf_dir):
     return model.forecast(model.update(model.fit(parts.train), parts.test), H)
 
 
+def _updated(model, tsf, residuals=False):
+    """Fitted without the last year, then updated with it; the SQL fits on everything."""
+    parts = temporal_split(tsf, fh=12)
+    return model.update(model.fit(parts.train, residuals=residuals), parts.test)
+
+
+@query(ORACLE["smoothing_simple"])
+def update_smoothing(spark, sf_dir):
+    model = SES()
+    return rounded(model.forecast(_updated(model, by_priority(spark, sf_dir)), H), "yhat")
+
+
+@query(ORACLE["theta"])
+def update_theta(spark, sf_dir):
+    model = Theta()
+    return rounded(model.forecast(_updated(model, by_priority(spark, sf_dir)), H), "yhat")
+
+
+@query(ORACLE["autoregression"])
+def update_autoregression(spark, sf_dir):
+    model = AR1()
+    return rounded(model.forecast(_updated(model, by_priority(spark, sf_dir)), H), "yhat")
+
+
+@query(ORACLE["variance_trend"])
+def interval_after_update(spark, sf_dir):
+    model = Trend()
+    params = _updated(model, by_priority(spark, sf_dir), residuals=True)
+    return rounded(model.variance(params, H), "variance", digits=2)
+
+
 # -- composition ----------------------------------------------------------------
 
 

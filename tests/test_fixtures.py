@@ -312,7 +312,7 @@ def test_update(spark):
     with pytest.raises(ValueError, match="new rows"):
         model.update(old, new.with_df(new.df.limit(0)))
     with pytest.raises(NotImplementedError):
-        SES().update(SES().fit(tsf), new)
+        Trend(2).update(Trend(2).fit(tsf), new)
 
 
 @pytest.mark.parametrize("model", [NaiveLast(), SeasonalNaive(12), NaiveMean(), Drift(), Trend()], ids=lambda m: type(m).__name__)
