@@ -7,7 +7,7 @@ it, and whether it occurs very often. However often a key occurs, one bucket sen
 no key makes a partition hot.
 
 Where a key that is taken for repeated by mistake costs only work, keys can be sent short: even
-ones by their lower 32 bits, which beside the partition tell all but about one in a thousand
+ones by their lower 32 bits, which beside the partition tell all but a few in a thousand
 apart, and odd ones, whose answers must be right, whole.
 """
 
