@@ -31,10 +31,16 @@ _ANSWER = f"{BUCKET} int, target int, bits binary"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the cluster's shared folder; cuts the lineage."""
-    path = shared_dir(df.sparkSession, name)
+    """The rows as a table in the cluster's shared folder; cuts the lineage.
+
+    Nobody needs the shuffles behind it then, but Spark removes their files only once the driver's
+    JVM has collected what refers to them, by itself every half hour. So it is asked to.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Buckets:

@@ -336,12 +336,15 @@ def _candidates(files: DataFrame) -> DataFrame:
     that shares one of these needs no other.
     """
     own, tiny = F.col("size").bitwiseAND(1) == 1, F.col("size").bitwiseAND(2) == 2
-    files = files.select("file", "node", F.shiftright("size", 2).alias("seg"), own.alias("own"), tiny.alias("tiny"))
+    # Dealt by file once, for the hubs and for the rows that join them.
+    files = files.select("file", "node", "size").repartition("file")
     hubs = files.groupBy("file").agg(
         F.min("node").alias("v"), F.max("node").alias("m"), F.count(F.lit(1)).alias("n"),
-        F.count_if("own").alias("owns"), F.max("tiny").alias("few"),
+        F.count_if(own).alias("owns"), F.max(tiny).alias("few"),
     )
-    shared = files.join(hubs.filter("v < m and owns > 0"), "file")
+    shared = files.join(hubs.filter("v < m and owns > 0"), "file").withColumns(
+        {"seg": F.shiftright("size", 2), "own": own}
+    )
     by_pairs = (F.col("few") & (F.col("owns") <= CROWD)) | (F.col("n") <= SMALL)
     star = shared.filter(~by_pairs).select(F.col("node").alias("u"), "v")
     small = shared.filter(by_pairs)
