@@ -34,13 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the cluster's shared folder; cuts the lineage.
 
     Nobody needs the shuffles behind it then, but Spark removes their files only once the driver's
-    JVM has collected what refers to them, by itself every half hour. So it is asked to.
+    JVM has collected what refers to them, by itself every half hour. So it is asked to, after a
+    small job, as the scheduler refers to the last job until the next one.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.limit(1).count()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return table
 
 
 class Buckets:
