@@ -188,39 +188,53 @@ def similar(df: DataFrame, id_col: str, name: str, category: str, tags: list[str
     """`(id, rank, other, score)`: for each row the k rows of its category with most equal
     tags, by name (then id) on ties, itself excluded.
 
-    Instead of comparing all pairs of a category, every row is filed under each subset
-    of its tag values, and each file keeps its first k+1 rows by name. A row that is not
-    among those has k better ones before it in the same file, so the result is exact.
+    Instead of comparing all pairs of a category, rows are filed under each subset of their
+    tag values, and each file keeps its first k+1 rows by name. A row that is not among those
+    has k better ones before it in the same file, so the result is exact. Rows with the same
+    category and tag values, a profile, have the same files: only the first k+1 rows of a
+    profile are filed, and the files are read once for a profile, not for each of its rows.
     """
     if k < 1:
         raise ValueError("k must be positive")
     subsets = [s for r in range(len(tags) + 1) for s in combinations(range(len(tags)), r)]
     value = [F.coalesce(F.col(t).cast("string"), F.lit("\u0000")) for t in tags]
+    rows = df.select(
+        F.col(id_col).alias("id"), F.col(name).alias("name"), F.coalesce(F.col(category).cast("string"), F.lit("\u0000")).alias("cat"),
+        F.array(*value).cast("array<string>").alias("tags"),
+    )
+    profile, bucket = ["cat", "tags"], ["cat", "set", "vals"]
+
+    def first(rows: DataFrame, key: list[str]) -> DataFrame:
+        place = F.row_number().over(W.partitionBy(*key).orderBy("name", "id"))
+        return rows.withColumn("__rn", place).where(F.col("__rn") <= k + 1).drop("__rn")
+
     files = F.array(
         *[
             F.struct(
                 F.lit(i).alias("set"),
-                F.array(*[value[j] for j in s]).cast("array<string>").alias("vals"),
+                F.array(*[F.col("tags")[j] for j in s]).cast("array<string>").alias("vals"),
                 F.lit(len(s)).alias("score"),
             )
             for i, s in enumerate(subsets)
         ]
     )
-    filed = df.select(
-        F.col(id_col).alias("id"), F.col(name).alias("name"), F.coalesce(F.col(category).cast("string"), F.lit("\u0000")).alias("cat"),
-        F.explode(files).alias("f"),
-    ).select("id", "name", "cat", "f.*")
-    bucket = ["cat", "set", "vals"]
-    first = W.partitionBy(*bucket).orderBy("name", "id")
-    kept = filed.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") <= k + 1)
-    packed = kept.groupBy(*bucket).agg(
+    filed = first(rows, profile).select("id", "name", "cat", F.explode(files).alias("f"))
+    packed = first(filed.select("id", "name", "cat", "f.*"), bucket).groupBy(*bucket).agg(
         F.collect_list(F.struct(F.col("name"), F.col("id").alias("other"))).alias("others")
     )
-    # The packed side has at most k+1 rows per file; AQE splits a crowded file's rows.
-    pairs = filed.join(packed, bucket).select("id", "score", F.explode("others").alias("o"))
-    best = pairs.where(F.col("o.other") != F.col("id")).groupBy("id", "o").agg(
-        F.max("score").alias("score")
-    )
+    asked = rows.select(*profile).distinct().select(*profile, F.explode(files).alias("f")).select(*profile, "f.*")
+    # Merge joins: files and profiles grow with the rows, so they are never sent through the driver.
+    met = asked.join(packed.hint("merge"), bucket).select(*profile, "score", F.explode("others").alias("o"))
+    met = met.groupBy(*profile, "o").agg(F.max("score").alias("score"))
+    found = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("less"), "o.name", "o.other")))
+    lists = met.groupBy(*profile).agg(found.alias("found"))
+    # k+1 different ids leave k to each row; where an id has several names, all stay.
+    short = F.slice("found", 1, k + 1)
+    enough = F.size(F.array_distinct(F.transform(short, lambda o: o["other"]))) == k + 1
+    lists = lists.select(*profile, F.when(enough, short).otherwise(F.col("found")).alias("found"))
+    others = F.slice(F.filter("found", lambda o: o["other"] != F.col("id")), 1, k)
+    pairs = rows.select("id", *profile).join(lists.hint("merge"), profile).select("id", F.explode(others).alias("o"))
+    best = pairs.groupBy("id", F.struct("o.name", "o.other").alias("o")).agg(F.max(-F.col("o.less")).alias("score"))
     order = W.partitionBy("id").orderBy(F.desc("score"), "o.name", "o.other")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(id_col), "rank", F.col("o.other").alias("other"), "score")
