@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -19,6 +20,11 @@ from chronoloom.shared import cut_lineage
 
 # Vectors that one join block holds on either side.
 BLOCK_ROWS = 8_192
+# Numbers that the vectors on one side of a tile hold at most (a tile has a block at least), and a piece of its products.
+TILE_VALUES = 4_194_304
+PIECE_VALUES = 4_000_000
+# Sides that a table is cut into at least, if blocks allow: of the search near home, and of the one that takes in other cells.
+FIRST_SIDES, SIDES = 64, 8
 PIVOTS = 64
 MAX_CLASSES = 10_000
 # Distances that differ by less than this count as equal; the lower id comes first.
@@ -121,53 +127,243 @@ def pivot_index(train: DataFrame, pivots: int = PIVOTS, block_rows: int = BLOCK_
     return PivotIndex(cut_lineage(blocks), points, cells, kind("id"), kind("label") if labelled else None)
 
 
-def _search(asked: DataFrame, index: PivotIndex, k: int, id_type: str, block_rows: int) -> DataFrame:
-    """`(id, neighbour, distance, label)`: the k nearest in each block of the cells that a query visits.
+class _Tile:
+    """The k nearest of each query of one tile among training rows that stream past, cell by cell.
 
-    Queries `(id, values, cell)` of a cell are packed and go to the blocks of that cell. A block
-    is moved once, however many queries there are; packs stream past it.
+    A matrix product tells which rows can be near enough, with a margin over its rounding error;
+    the exact distance decides among those. Rows of a cell must come in order of their names.
+    """
+
+    def __init__(self, k: int, labelled: bool):
+        self.k, self.labelled = k, labelled
+        self.asked: list[pa.RecordBatch] = []
+        self.types: tuple = ()
+
+    def ask(self, part: pa.RecordBatch) -> None:
+        self.asked.append(part)
+
+    def _settle(self, part: pa.RecordBatch) -> None:
+        t = pa.Table.from_batches(self.asked).combine_chunks().to_batches()[0]
+        self.asked = []
+        self.types = tuple(part.schema.field(c).type for c in ("id", "name") + ("tag",) * self.labelled)
+        self.ids = t.column("id").to_pylist()
+        self.where: dict = {}
+        for i, name in enumerate(self.ids):
+            self.where.setdefault(name, []).append(i)
+        self.q = _matrix(t.column("values"))
+        self.qq = np.einsum("ij,ij->i", self.q, self.q)
+        # Products with (values, square) of a training row give its squared distance less that of the query.
+        self.factor = {float: np.hstack([-2 * self.q, np.ones((len(self.q), 1))])}
+        self.factor[np.float32] = self.factor[float].astype(np.float32)
+        bound = t.column("bound").to_numpy(zero_copy_only=False).astype(float)
+        self.bound = np.where(np.isnan(bound), np.inf, bound)
+        cells = t.column("cells")
+        row = np.repeat(np.arange(len(t)), cells.value_lengths().to_numpy())
+        cell = cells.flatten().to_numpy()
+        by = np.argsort(cell, kind="stable")
+        found, first = np.unique(cell[by], return_index=True)
+        self.rows_of = dict(zip(found.tolist(), np.split(row[by], first[1:])))
+        self.distance = np.full((len(t), self.k), np.inf)
+        self.name, self.tag = np.empty((len(t), self.k), object), np.empty((len(t), self.k), object)
+
+    def meet(self, cell: int, part: pa.RecordBatch) -> None:
+        if self.asked:
+            self._settle(part)
+        rows = self.rows_of.get(cell)
+        if rows is None:
+            return
+        points = _matrix(part.column("values"))
+        names, tags = _objects(part.column("name")), _objects(part.column("tag")) if self.labelled else None
+        own = [(i, j) for j, name in enumerate(names) for i in self.where.get(name, ())]
+        own = np.array(own, int).reshape(-1, 2)
+        at = np.full(len(self.q), -1)
+        at[rows] = np.arange(len(rows))
+        own[:, 0] = at[own[:, 0]]
+        own = own[own[:, 0] >= 0]
+        own = own[np.argsort(own[:, 0], kind="stable")]
+        square = np.einsum("ij,ij->i", points, points)
+        full = np.hstack([points, square[:, None]])
+        small = full.astype(np.float32) if self.qq.max() + square.max() < 1e30 else None
+        piece = max(1, PIECE_VALUES // len(points))
+        for a in range(0, len(rows), piece):
+            i, j = np.searchsorted(own[:, 0], (a, a + piece))
+            self._piece(rows[a : a + piece], points, full, small, square.max(), own[i:j] - (a, 0), names, tags)
+
+    def _piece(self, rows, points, full, small, most, own, names, tags) -> None:
+        k, unit = self.k, 10.0**-DIGITS
+        last = self.distance[rows, k - 1]
+        limit = np.minimum(last, self.bound[rows]) + unit
+        # Once k rows with lower names are as near, only nearer ones count.
+        lower = np.isfinite(last) & (last <= self.bound[rows])
+        if lower.any() and names[0] is not None:
+            lower[lower] = [n is not None and n <= names[0] for n in self.name[rows[lower], k - 1]]
+            limit[lower] = last[lower] - 0.4 * unit
+        if (limit < 0).any():
+            keep = limit >= 0
+            to = np.cumsum(keep) - 1
+            own = own[keep[own[:, 0]]]
+            own = np.column_stack([to[own[:, 0]], own[:, 1]])
+            rows, limit = rows[keep], limit[keep]
+        if not len(rows):
+            return
+        qq = self.qq[rows]
+        for kind, other in ((np.float32, small), (float, full)):
+            if other is None:
+                continue
+            slack = 4 * (full.shape[1] + 8) * np.finfo(kind).eps * (qq + most)
+            near = self.factor[kind][rows] @ other.T
+            near[own[:, 0], own[:, 1]] = np.inf
+            reach = limit**2 - qq + slack
+            free = np.isinf(limit)
+            if free.any() and len(points) >= k:
+                kth = np.partition(near[free], k - 1, axis=1)[:, k - 1].astype(float)
+                kth = np.sqrt(np.maximum(kth + qq[free] + slack[free], 0)) + unit
+                reach[free] = kth**2 - qq[free] + slack[free]
+            reach[np.isnan(reach)] = np.inf
+            hit = ~(near > reach.astype(kind)[:, None])  # what is not a number stays for the exact distance
+            hit[own[:, 0], own[:, 1]] = False
+            n = np.count_nonzero(hit)
+            if n <= len(rows) * (k + 16) or n * 64 <= hit.size:
+                break
+        i, j = np.divmod(np.flatnonzero(hit), len(points))
+        d = np.empty(len(i))
+        step = max(1, PIECE_VALUES // max(1, points.shape[1]))
+        for a in range(0, len(i), step):
+            off = self.q[rows[i[a : a + step]]] - points[j[a : a + step]]
+            d[a : a + step] = np.round(np.sqrt(np.einsum("ij,ij->i", off, off)), DIGITS)
+        ok = np.isfinite(d)
+        i, j, d = rows[i[ok]], j[ok], d[ok]
+        if len(i):
+            by = _first(i, d, j, k)
+            self._merge(i[by], d[by], names[j[by]], tags[j[by]] if self.labelled else None)
+
+    def _merge(self, i, d, names, tags) -> None:
+        some = np.unique(i)
+        old = np.isfinite(self.distance[some])
+        i = np.concatenate([np.repeat(some, self.k)[old.ravel()], i])
+        d = np.concatenate([self.distance[some][old], d])
+        names = np.concatenate([self.name[some][old], names])
+        by = _first(i, d, pd.factorize(names, sort=True)[0], self.k)
+        i, d, names = i[by], d[by], names[by]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        if self.labelled:
+            tags = np.concatenate([self.tag[some][old], tags])[by]
+            self.tag[i, rank] = tags
+        self.distance[i, rank], self.name[i, rank] = d, names
+
+    def rows(self, schema: list[str]) -> pa.RecordBatch | None:
+        if not self.types:
+            return None
+        i, r = np.nonzero(np.isfinite(self.distance))
+        id_type, name_type, *tag_type = self.types
+        columns = [
+            pa.array([self.ids[x] for x in i], id_type), pa.array(self.name[i, r].tolist(), name_type),
+            pa.array(self.distance[i, r]), *[pa.array(self.tag[i, r].tolist(), t) for t in tag_type],
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema)
+
+
+def _first(i: np.ndarray, d: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first k of each `i` by distance and tie, in that order."""
+    by = np.lexsort((tie, d, i))
+    i = i[by]
+    return by[np.arange(len(i)) - np.searchsorted(i, i) < k]
+
+
+def _objects(column: pa.Array) -> np.ndarray:
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    length = column.value_lengths()
+    if column.null_count or (length.to_numpy() != length[0].as_py()).any():
+        raise ValueError("All instances need values of one length")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _slabs(index: PivotIndex, side: int) -> tuple[dict, dict, dict]:
+    """By cell: its first slab, its number of slabs and how many of its blocks share one.
+
+    A slab has about `side` training rows: several small cells, or some blocks of a large one.
+    """
+    first, count, per, at, held = {}, {}, {}, 0, 0
+    for c, n, parts, _ in index.cells:
+        per[c] = max(1, side // -(-n // parts))
+        if held and held + n > side:
+            at, held = at + 1, 0
+        first[c], count[c] = at, -(-parts // per[c])
+        held = held + n if count[c] == 1 else side
+        at += count[c] - 1
+    return first, count, per
+
+
+def _search(asked: DataFrame, index: PivotIndex, k: int, id_type: str, side: int) -> DataFrame:
+    """`(id, neighbour, distance, label)`: the k nearest in each tile of the cells that a query visits.
+
+    Queries `(id, values, cells, bound)` and slabs of training rows, of about `side` rows each,
+    meet in tiles, one task each: queries are copied once for a slab and training rows once for
+    the queries of about a side, both as rows, of which a task holds its queries and streams the
+    rest. The rows that move grow with the input and the number of sides.
     """
-    sizes = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}  # a row for each cell
     label_type = index.label_type
     schema = f"id {id_type}, neighbour {index.id_type}, distance double" + (f", label {label_type}" if label_type else "")
+    of = lambda m: F.create_map(*[F.lit(int(v)) for pair in m.items() for v in pair])
+    first, count, per = _slabs(index, side)
+    first_of, count_of, per_of, inside = of(first), of(count), of(per), {}
+    for c in first:
+        for slab in range(first[c], first[c] + count[c]):
+            inside.setdefault(slab, []).append(int(c))
+    slabs = F.transform("cells", lambda c: F.sequence(first_of[c], first_of[c] + count_of[c] - 1))
+    asked = asked.withColumn("slab", F.explode(F.array_distinct(F.flatten(slabs))))
+    sizes = {r["slab"]: r["count"] for r in asked.groupBy("slab").count().collect()}  # a row for each slab
     if not sizes:
         return asked.sparkSession.createDataFrame([], schema)
-    slices = F.create_map(*[F.lit(v) for c, n in sizes.items() for v in (c, -(-n // block_rows))])
-    parts = F.create_map(*[F.lit(v) for c, _, n, _ in index.cells for v in (c, n)])
-    slot = F.pmod(F.xxhash64("id", "values"), slices[F.col("cell")])
-    packs = asked.groupBy("cell", slot.alias("slot")).agg(F.collect_list(F.struct("id", "values")).alias("rows"))
-    packs = packs.select(
-        "cell", F.col("rows.id").alias("ids"), F.col("rows.values").alias("vectors"),
-        F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1)).alias("part"),
+    slots = {slab: -(-sizes[slab] // side) for slab in sorted(sizes)}
+    ends = np.cumsum(list(slots.values()))
+    start_of, slots_of = of(dict(zip(slots, ends - list(slots.values())))), of(slots)
+    here = F.create_map(*[v for s in slots for v in (F.lit(s), F.array(*[F.lit(c) for c in inside[s]]))])
+    none = lambda kind: F.lit(None).cast(kind)
+    labelled = {"tag": label_type} if label_type else {}
+    queries = asked.select(
+        (start_of[F.col("slab")] + F.pmod(F.xxhash64("id", "values"), slots_of[F.col("slab")])).cast("int").alias("tile"),
+        F.lit(-1).alias("cell"), "values", none(index.id_type).alias("name"), *[none(t).alias(c) for c, t in labelled.items()],
+        "id", "bound", F.array_intersect("cells", here[F.col("slab")]).alias("cells"),
+    )
+    row = F.arrays_zip("names", "points", *(["tags"] if label_type else []))
+    slab = (first_of[F.col("cell")] + F.floor(F.col("part") / per_of[F.col("cell")])).cast("int")
+    blocks = index.blocks.select("cell", slab.alias("slab"), row.alias("rows")).select(
+        "cell", "rows", F.explode(F.sequence(start_of[F.col("slab")], start_of[F.col("slab")] + slots_of[F.col("slab")] - 1)).alias("tile"),
     )
+    rows = blocks.select("tile", "cell", F.explode("rows").alias("r")).select(
+        F.col("tile").cast("int"), "cell", F.col("r.points").alias("values"), F.col("r.names").alias("name"),
+        *[F.col("r.tags").alias(c) for c in labelled], none(id_type).alias("id"), none("double").alias("bound"),
+        none("array<int>").alias("cells"),
+    )
+    out = ["id", "neighbour", "distance", *(["label"] if label_type else [])]
 
     def match(batches):
+        tile, now = None, None
         for batch in batches:
-            for row in batch.to_dict("records"):
-                names, tv = np.asarray(row["names"], object), np.stack(row["points"]).astype(float)
-                by = np.argsort(names, kind="stable")
-                names, tv = names[by], tv[by]
-                tags = np.asarray(row["tags"], object)[by] if label_type else None
-                ids, qv = np.asarray(row["ids"], object), np.stack(row["vectors"]).astype(float)
-                piece = max(1, 8_000_000 // len(tv))
-                for i in range(0, len(ids), piece):
-                    d = np.round(_distances(qv[i : i + piece], tv), DIGITS)
-                    mine = ids[i : i + piece]
-                    d[mine[:, None] == names[None, :]] = np.inf
-                    # Stable sort: equal distances stay in id order.
-                    top = np.argsort(d, axis=1, kind="stable")[:, :k]
-                    found = np.take_along_axis(d, top, 1)
-                    keep = np.isfinite(found).ravel()
-                    out = {
-                        "id": np.repeat(mine, top.shape[1])[keep],
-                        "neighbour": names[top].ravel()[keep],
-                        "distance": found.ravel()[keep],
-                    }
-                    if label_type:
-                        out["label"] = tags[top].ravel()[keep]
-                    yield pd.DataFrame(out)
-
-    return packs.join(index.blocks, ["cell", "part"]).drop("cell", "part").mapInPandas(match, schema)
+            tiles, cells = batch.column("tile").to_numpy(), batch.column("cell").to_numpy()
+            cuts = np.flatnonzero((np.diff(tiles) != 0) | (np.diff(cells) != 0)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(tiles)]):
+                part = batch.slice(i, j - i)
+                if tiles[i] != tile:
+                    if now is not None and (found := now.rows(out)) is not None:
+                        yield found
+                    tile, now = tiles[i], _Tile(k, bool(label_type))
+                if cells[i] < 0:
+                    now.ask(part)
+                else:
+                    now.meet(int(cells[i]), part)
+        if now is not None and (found := now.rows(out)) is not None:
+            yield found
+
+    # Queries come first, as their cell is -1, then rows by cell and name.
+    dealt = queries.unionByName(rows).repartitionById(int(ends[-1]), "tile").sortWithinPartitions("tile", "cell", "name")
+    return dealt.mapInArrow(match, schema)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -190,6 +386,9 @@ def nearest(
        others. That gives a tight k-th distance.
     3. By the triangle inequality only cells within that distance can hold a nearer row; the
        query visits those that it has not seen yet.
+
+    Where distances hardly differ, as between random vectors of many dimensions, no cell can be
+    ruled out and all pairs are compared, in tiles by matrix products.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -215,14 +414,21 @@ def nearest(
         near = (d <= reach * (1 + 1e-9) + 10.0**-DIGITS) | np.isnan(reach)
         return pd.Series([cells[row].astype("int32") for row in near])
 
+    total, most = int(sizes.sum()), max(block_rows, TILE_VALUES // max(1, centres.shape[1]))
+
+    def side(parts: int) -> int:
+        return max(block_rows, min(most, -(-total // parts)))
+
     asked = queries.select("id", "values", start("values").alias("seen"))
-    first = _best(_search(asked.select("id", "values", F.explode("seen").alias("cell")), index, k, id_type, block_rows), k)
+    blind = asked.select("id", "values", F.col("seen").alias("cells"), F.lit(None).cast("double").alias("bound"))
+    first = _best(_search(blind, index, k, id_type, side(FIRST_SIDES)), k)
     first = cut_lineage(first.drop("rank"))
     bounds = first.groupBy("id").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("found"))
     bounds = bounds.select("id", F.when(F.col("found") >= k, F.col("far")).alias("bound"))
-    more = asked.join(bounds, "id", "left")
-    more = more.withColumn("cell", F.explode(F.array_except(within("values", "bound"), "seen")))
-    second = _search(more.select("id", "values", "cell"), index, k, id_type, block_rows)
+    # A merge join, as the bounds of all queries are no table to broadcast.
+    more = asked.join(bounds.hint("merge"), "id", "left")
+    more = more.select("id", "values", "bound", F.array_except(within("values", "bound"), "seen").alias("cells"))
+    second = _search(more, index, k, id_type, side(SIDES))
     labelled = ["label"] if index.label_type else []
     return _best(first.unionByName(second), k).select("id", "rank", "neighbour", "distance", *labelled)
 
