@@ -20,9 +20,10 @@ from chronoloom.shared import cut_lineage
 
 # Vectors that one join block holds on either side.
 BLOCK_ROWS = 8_192
-# Numbers that the vectors on one side of a tile hold at most (a tile has a block at least), and a piece of its products.
+# Numbers that the vectors on one side of a tile hold at most (a tile has a block at least); pairs of a piece and of a product.
 TILE_VALUES = 4_194_304
 PIECE_VALUES = 4_000_000
+PRODUCT_VALUES = 1_000_000
 # Sides that a table is cut into at least, if blocks allow: of the search near home, and of the one that takes in other cells.
 FIRST_SIDES, SIDES = 64, 8
 PIVOTS = 64
@@ -138,6 +139,7 @@ class _Tile:
         self.k, self.labelled = k, labelled
         self.asked: list[pa.RecordBatch] = []
         self.types: tuple = ()
+        self.held: dict = {}
 
     def ask(self, part: pa.RecordBatch) -> None:
         self.asked.append(part)
@@ -206,36 +208,57 @@ class _Tile:
             rows, limit = rows[keep], limit[keep]
         if not len(rows):
             return
-        qq = self.qq[rows]
+        found, step = [], max(1, PRODUCT_VALUES // len(points))
+        for a in range(0, len(rows), step):
+            x, y = np.searchsorted(own[:, 0], (a, a + step))
+            hits = self._hits(rows[a : a + step], limit[a : a + step], full, small, most, own[x:y] - (a, 0))
+            found.append(hits + a * len(points))
+        i, j = np.divmod(np.concatenate(found), len(points))
+        d = np.empty(len(i))
+        step = max(1, TILE_VALUES // max(1, points.shape[1]))
+        for a in range(0, len(i), step):
+            off = self.q[rows[i[a : a + step]]] - points[j[a : a + step]]
+            d[a : a + step] = np.round(np.sqrt(np.einsum("ij,ij->i", off, off)), DIGITS)
+        ok = np.isfinite(d)
+        i, j, d = rows[i[ok]], j[ok], d[ok]
+        if len(i):
+            by = _first(i, d, j, k)
+            self._merge(i[by], d[by], names[j[by]], tags[j[by]] if self.labelled else None)
+
+    def _hits(self, rows, limit, full, small, most, own) -> np.ndarray:
+        """Places of the pairs that can be within the limit, row by row."""
+        k, n, unit, qq = self.k, len(full), 10.0**-DIGITS, self.qq[rows]
         for kind, other in ((np.float32, small), (float, full)):
             if other is None:
                 continue
             slack = 4 * (full.shape[1] + 8) * np.finfo(kind).eps * (qq + most)
-            near = self.factor[kind][rows] @ other.T
+            near = self._room(kind, len(rows), n)
+            np.matmul(self.factor[kind][rows], other.T, out=near)
             near[own[:, 0], own[:, 1]] = np.inf
             reach = limit**2 - qq + slack
             free = np.isinf(limit)
-            if free.any() and len(points) >= k:
+            if free.any() and n >= k:
                 kth = np.partition(near[free], k - 1, axis=1)[:, k - 1].astype(float)
                 kth = np.sqrt(np.maximum(kth + qq[free] + slack[free], 0)) + unit
                 reach[free] = kth**2 - qq[free] + slack[free]
             reach[np.isnan(reach)] = np.inf
-            hit = ~(near > reach.astype(kind)[:, None])  # what is not a number stays for the exact distance
+            hit = self._room(bool, len(rows), n)
+            # What is not a number stays for the exact distance.
+            np.logical_not(np.greater(near, reach.astype(kind)[:, None], out=hit), out=hit)
             hit[own[:, 0], own[:, 1]] = False
-            n = np.count_nonzero(hit)
-            if n <= len(rows) * (k + 16) or n * 64 <= hit.size:
+            count = np.count_nonzero(hit)
+            if count <= len(rows) * (k + 16) or count * 64 <= hit.size:
                 break
-        i, j = np.divmod(np.flatnonzero(hit), len(points))
-        d = np.empty(len(i))
-        step = max(1, PIECE_VALUES // max(1, points.shape[1]))
-        for a in range(0, len(i), step):
-            off = self.q[rows[i[a : a + step]]] - points[j[a : a + step]]
-            d[a : a + step] = np.round(np.sqrt(np.einsum("ij,ij->i", off, off)), DIGITS)
-        ok = np.isfinite(d)
-        i, j, d = rows[i[ok]], j[ok], d[ok]
-        if len(i):
-            by = _first(i, d, j, k)
-            self._merge(i[by], d[by], names[j[by]], tags[j[by]] if self.labelled else None)
+        # Hits are rare, so eight places are looked at in one.
+        flat, whole = hit.ravel(), hit.size // 8 * 8
+        words = np.flatnonzero(flat[:whole].view(np.uint64))
+        at = np.concatenate([(words[:, None] * 8 + np.arange(8)).ravel(), np.arange(whole, hit.size)])
+        return at[flat[at]]
+
+    def _room(self, kind, rows: int, n: int) -> np.ndarray:
+        if self.held.get(kind) is None or self.held[kind].size < rows * n:
+            self.held[kind] = np.empty(rows * n, kind)
+        return self.held[kind][: rows * n].reshape(rows, n)
 
     def _merge(self, i, d, names, tags) -> None:
         some = np.unique(i)
