@@ -162,8 +162,8 @@ def ask_repeated(
     `short`, a few even keys are said to be repeated, late or hot that are not; odd ones never.
     """
     targets = max(1, math.ceil(buckets.total / bytes_a_key / 400_000))
-    # Unless very frequent keys are asked for, it only matters whether a count is over one.
-    count_type = "u1" if hot >= 1 << 62 else "<u4"
+    # Unless very frequent keys are asked for, it only matters whether a count is over one, or a few.
+    count_type = "u1" if hot >= 1 << 62 or hot < 255 else "<u4"
     asked = (
         buckets.thin()
         .groupBy(BUCKET)

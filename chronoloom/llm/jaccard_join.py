@@ -8,6 +8,10 @@ segment, and where one token may be missing also under each one-deletion neighbo
 allots the allowances by band: more allowances mean fewer but larger segments, so more filings
 of a set but fewer sets that meet by chance, which pays off as bands fill up.
 
+Linked sets share most tokens, so a set with too many tokens that no other set has links with
+nothing. A part of the tokens tells which ones have company (`exchange`); sets without are not
+filed, so unrelated documents, however many, neither crowd files nor meet by chance.
+
 Files with one set are dropped unseen (`exchange`), equal sets are one from the start, and sets
 that share files are verified with their whole token sets inside their candidate component. A
 pair that is linked already through others is not compared again, so a group of near copies
@@ -20,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +37,8 @@ LIMIT = 8 << 20
 AGREE = 3
 #: Sets that a file may have for its pairs to be written out: own ones if its subset has one token or none, else all.
 CROWD, SMALL = 256, 8
+#: Holders of a token that are counted.
+MET = 2
 DOC, FILE = 0, 1
 _C = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
@@ -70,7 +77,10 @@ class Scheme:
             x = min(x, m) if h else 0
             per = n / m
             alike = math.exp(-min(700, 2 * per))  # that two unlike sets leave a segment empty
-            cost = m + x * per + sets * alike * ((m - x) + x * (1 + 2 * per))
+            meet = alike * ((m - x) + x * (1 + 2 * per))
+            # Two unlike sets that meet in AGREE segments are compared token by token.
+            few = math.exp(-meet) * sum(meet**k / math.factorial(k) for k in range(AGREE))
+            cost = m + x * per + sets * (meet + max(0, 1 - few) * n)
             best = min(best or (cost, m, x), (cost, m, x))
         return best[1], best[2]
 
@@ -90,7 +100,9 @@ class Sets:
         short = np.flatnonzero((np.diff(t.first) > 0) & (np.diff(t.first) < words))
         tokens = np.concatenate((tokens, runs_hash(h, t.first[short], t.first[short + 1])))
         doc = np.concatenate((doc, short))
-        by = np.lexsort((tokens, doc))
+        by = np.argsort(tokens)
+        # A stable sort of short numbers takes time in proportion.
+        by = by[np.argsort(doc[by].astype(np.min_scalar_type(t.n)), kind="stable")]
         tokens, doc = tokens[by], doc[by]
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (doc[1:] != doc[:-1])
@@ -159,6 +171,58 @@ def _asked(files: np.ndarray, names: np.ndarray) -> np.ndarray:
     return np.concatenate((files & ~U(1), mix(names) | U(1)))
 
 
+def token_part(percent: int) -> int:
+    """Of so many tokens one is asked for, so that two fifths of a set's tokens, held by no other, rule it out."""
+    return 1 << max(0, (40 // max(1, 100 - percent)).bit_length() - 1)
+
+
+def _some_tokens(sets: Sets, percent: int) -> np.ndarray:
+    return np.flatnonzero((sets.tokens & U(token_part(percent) - 1)) == 0)
+
+
+def _token_keys(words: int, percent: int):
+    def fn(table: pa.Table) -> np.ndarray:
+        sets, names, first = _read(table, words)
+        sets = sets.pick(first)
+        return _asked(sets.tokens[_some_tokens(sets, percent)], names[first])
+
+    return fn
+
+
+def _with_company(words: int, percent: int, answering: int):
+    """A row for each document; those of the first one of each set that may have links hold its text.
+
+    Of a set's tokens, a linked one lacks (100 - percent) in 100 at most. A token is held by no
+    other set if as many sets of buckets have it as have the whole set, which is told up to two.
+    """
+
+    def fn(table: pa.Table, answers: pa.Table) -> pa.Table:
+        all_sets, names, first = _read(table, words)
+        sets = all_sets.pick(first)
+        some = _some_tokens(sets, percent)
+        flags = read_answers(_asked(sets.tokens[some], names[first]), answers, answering)
+        held = 1 + flags[0].astype(np.int8) + flags[2]
+        owner = np.repeat(np.arange(len(first)), sets.sizes)[some]
+        own = (held[: len(some)] == held[len(some) :][owner]) & (held[: len(some)] <= MET)
+        lacking = np.bincount(owner[own], minlength=len(first))
+        may = flags[1][len(some) :] & (100 * lacking <= (100 - percent) * sets.sizes)
+        chosen = np.zeros(len(names), bool)
+        chosen[first[may]] = True
+        text = table.column("text")
+        return pa.table(
+            {
+                "id": table.column("id"),
+                BUCKET: table.column(BUCKET),
+                "row": pa.array(np.arange(len(names)), pa.int32()),
+                "size": pa.array(all_sets.sizes, pa.int64()),
+                "node": pa.array(names.view(np.int64)),
+                "text": pc.if_else(pa.array(chosen), text, pa.scalar(None, text.type)),
+            }
+        )
+
+    return fn
+
+
 def _keys(words: int, scheme: Scheme):
     def fn(table: pa.Table) -> np.ndarray:
         sets, names, first = _read(table, words)
@@ -365,35 +429,43 @@ def _verified(
     every: bool = False,
 ) -> tuple[Buckets, DataFrame, DataFrame, int]:
     """Buckets, their rows, what `_verify` finds among their sets, and the most blocks of a component."""
+    probe = Scheme(percent)
     buckets = Buckets(docs, id_col, text_col)
+    id_type, text_type = (docs.schema[c].dataType.simpleString() for c in (id_col, text_col))
+    answers, answering = ask_repeated(buckets, _token_keys(words, percent), 15 * token_part(percent), MET, short=True)
+    rows = written(
+        bucket_map(
+            buckets, answers, _with_company(words, percent, answering),
+            f"id {id_type}, {BUCKET} int, row int, size bigint, node bigint, text {text_type}",
+        ),
+        "sets",
+    )
+    docs_rows = rows.drop("text")
+    able = rows.filter("text is not null").select("node", "text", "size")
     base = math.log(100 / min(percent, 99))
-    lengths = docs.groupBy(F.floor(F.log(F.octet_length(text_col) / 6 + 1) / F.lit(base)).alias("b")).count()
     census: dict[int, int] = {}
-    probe = Scheme(percent)
-    for r in lengths.collect():  # a row for each power of 100 / percent in bytes
-        if r.b is not None:
-            size = max(1, int(math.exp(base * r.b)))
-            b = int(probe.band(np.array([size]))[0])
-            census[b] = census.get(b, 0) + r["count"]
+    for r in able.groupBy(F.floor(F.log("size") / F.lit(base)).alias("b")).count().collect():
+        # a row for each power of 100 / percent
+        b = int(probe.band(np.array([max(1, int(math.exp(base * r.b)))]))[0])
+        census[b] = census.get(b, 0) + r["count"]
     scheme = Scheme(percent, census)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    answers, answering = ask_repeated(buckets, _keys(words, scheme), 24, short=True)
-    rows = written(
+    able = Buckets(able.select("node", "text"), "node", "text")
+    answers, answering = ask_repeated(able, _keys(words, scheme), 24, short=True)
+    filed = written(
         bucket_map(
-            buckets, answers, _filed(words, scheme, answering),
-            f"kind int, id {id_type}, {BUCKET} int, row int, size bigint, node bigint, file bigint",
+            able, answers, _filed(words, scheme, answering),
+            f"kind int, id bigint, {BUCKET} int, row int, size bigint, node bigint, file bigint",
         ),
         "filed",
     )
-    docs_rows = rows.filter(F.col("kind") == DOC)
-    candidates = components(_candidates(rows.filter(F.col("kind") == FILE)))
-    first = docs_rows.filter("file = 1 and size > 0").select("node", BUCKET, "row", "size")
+    candidates = components(_candidates(filed.filter(F.col("kind") == FILE)))
+    first = filed.filter((F.col("kind") == DOC) & F.expr("file = 1 and size > 0")).select("node", BUCKET, "row", "size")
     chosen = candidates.join(first, "node")
     blocks = chosen.groupBy("component").agg(F.ceil(F.sum("size") * 8 / F.lit(limit)).cast("int").alias("blocks"))
     chosen = written(chosen.join(blocks, "component"), "chosen")
     total = chosen.agg(F.sum("size").alias("s"), F.max("blocks").alias("b")).first()
     sets = bucket_map(
-        buckets, chosen.select(BUCKET, "row", "component", "node", "blocks"), _texts_of,
+        able, chosen.select(BUCKET, "row", "component", "node", "blocks"), _texts_of,
         "component bigint, node bigint, blocks int, text binary",
     )
     bundles = max(1, math.ceil((total.s or 0) * 8 / (4 << 20)))
@@ -425,7 +497,7 @@ def join_sets(
     else:  # each set was seen in one place only, so these are components already
         links = found.select(F.col("u").alias("node"), F.col("v").alias("component"))
     group = F.coalesce(F.col("component"), F.col("node"))
-    named = written(docs_rows.join(links, "node", "left").withColumn("component", group).drop("file", "kind"), "named")
+    named = written(docs_rows.join(links, "node", "left").withColumn("component", group), "named")
     least = named.filter("size > 0").groupBy("component").agg(F.min("id").alias("least"))
     result = named.filter("size > 0").join(least, "component").withColumn("component_id", F.col("least"))
     empty = named.filter("size = 0").withColumn("component_id", F.col("id"))

@@ -19,6 +19,8 @@ _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93)
 _WORD_BASES = (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)
 #: Of the usual C library only.
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+#: Bytes that are hashed at once.
+_PIECE = 1 << 14
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -105,9 +107,15 @@ class Texts:
         tell some words of a thousand letters apart, whatever its base."""
         if not len(self.starts):
             return np.zeros(0, U)
-        place = np.arange(len(self.buf))
-        place -= np.repeat(np.concatenate(([0], self.starts)), np.diff(np.concatenate(([0], self.starts, [len(place)]))))
-        spread = mix((self.buf.astype(U) + U(1)) * U(_BASES[which]) + place.astype(U) * U(_WORD_BASES[which]))
+        spread = np.arange(len(self.buf), dtype=U)
+        spread -= np.repeat(
+            np.concatenate(([0], self.starts)).astype(U), np.diff(np.concatenate(([0], self.starts, [len(spread)])))
+        )
+        for i in range(0, len(spread), _PIECE):  # pieces stay in the cache
+            part = spread[i : i + _PIECE]
+            part *= U(_WORD_BASES[which])
+            part += (self.buf[i : i + _PIECE].astype(U) + U(1)) * U(_BASES[which])
+            part[:] = mix(part)
         edges = np.stack([self.starts, self.ends], axis=1).ravel()
         sums = np.add.reduceat(spread, edges)[::2]
         return mix(sums + (self.ends - self.starts).astype(U) * U(0xFF51AFD7ED558CCD))

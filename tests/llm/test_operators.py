@@ -1,5 +1,6 @@
 """Operators against plain versions, on texts with nulls, ties, copies and odd shapes."""
 
+import math
 import random
 from collections import Counter
 
@@ -337,6 +338,59 @@ def test_jaccard_loses_no_link(spark, rows, limit, page, monkeypatch):
     assert found(jaccard_join.set_links(df, limit=limit)) == sorted(pairs) and len(pairs) > 10
 
 
+@pytest.mark.parametrize("page", [1 << 20, 20_000])
+def test_sets_without_company_are_not_filed(spark, page, monkeypatch):
+    """Unrelated documents, with copies or without, neither file nor meet by chance."""
+    monkeypatch.setattr(jaccard_join.Buckets.__init__, "__defaults__", (page,))
+    tables = {}
+
+    def written(df, name, write=jaccard_join.written):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(20_000)}" for _ in range(3000)) for _ in range(40)]
+    texts += [*texts[:5], texts[7] + " and more", "short one here now", "short one here now then"]
+    rows = list(enumerate(texts))
+    got = found(jaccard_join.link_documents(frame(spark, rows), words=5, percent=80))
+    assert got == sorted((i, *x) for i, x in plain.jaccard(rows, percent=80, words=5).items())
+    assert got[45][2] == 7 and got[44][2] == 4
+    filed = tables["filed"]
+    assert filed.filter("kind = 0").count() == 2 and tables["chosen"].count() == 2
+    assert {r.node for r in filed.collect()} == {r.node for r in tables["chosen"].collect()}
+
+
+@pytest.mark.parametrize("percent", [50, 75, 80, 95])
+def test_jaccard_at_the_limit(spark, percent, monkeypatch):
+    """Sets that just link and just do not, copies among them, in many buckets."""
+    monkeypatch.setattr(jaccard_join.Buckets.__init__, "__defaults__", (500,))
+    rnd, texts = random.Random(percent), []
+    for k, n in enumerate((6, 10, 25, 60, 100)):
+        base = [f"k{k}n{i}" for i in range(n)]
+        texts.append(base)
+        for other in range(4):
+            # Shared words at the front, others behind, one more or less than the limit allows.
+            same = -(-2 * n * percent // (100 + percent)) + other - 2
+            texts.append(base[: max(0, same)] + [f"k{k}o{other}n{i}" for i in range(n - max(0, same))])
+        texts.append(rnd.choice(texts[-4:]))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = found(jaccard_join.link_documents(frame(spark, rows), words=1, percent=percent))
+    assert got == sorted((i, *x) for i, x in plain.jaccard(rows, percent=percent, words=1).items())
+
+
+def test_cost_of_chance_meetings():
+    """Also in bands of few sets, unlike ones seldom meet in `AGREE` segments."""
+    for census in (1, 100, 10_000):
+        scheme = jaccard_join.Scheme(80, {b: census for b in range(50)})
+        for b in range(20, 40):
+            m, x = int(scheme.segments[b]), int(scheme.loose[b])
+            per = scheme.lows[b] / m
+            meet = math.exp(-2 * per) * (m - x + x * (1 + 2 * per))
+            chance = 1 - math.exp(-meet) * (1 + meet + meet**2 / 2)
+            assert chance * census * scheme.lows[b] < 10 * (m + x * per)
+
+
 def thue_morse(a, b, n):
     return [(a, b)[i.bit_count() % 2] for i in range(n)]
 
